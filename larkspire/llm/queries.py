@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larkspire.llm.common import read_table
 
@@ -21,6 +22,13 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), digests=True)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.secret_scan import scan_secrets
+
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.token_counts import count_tokens
 
@@ -28,7 +36,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_bpe_codec, op10_token_counts)}
+    return {f.__name__: f for f in (op5_bpe_codec, op8_secret_scan, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
