@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import read_table
+from larkspire.llm.common import held_out, read_table
 
 
 def tokenizer_path(name: str) -> str:
@@ -16,6 +16,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.language_id import identify_held_out
+
+    return identify_held_out(read_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.bpe_codec import encode
 
@@ -29,6 +35,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.toxicity import score_toxicity, train, training_rows
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, train(training_rows(docs), training_rows(labels)))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.token_counts import count_tokens
 
@@ -36,7 +50,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_bpe_codec, op8_secret_scan, op10_token_counts)}
+    return {f.__name__: f for f in (op2_language_id, op5_bpe_codec, op8_secret_scan, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
