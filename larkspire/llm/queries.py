@@ -28,6 +28,24 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), digests=True)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.line_dedup import dedup_lines
+
+    done = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+l AS (SELECT doc_id, r, unnest(a) AS line, unnest(range(len(a))) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT min(doc_id) AS doc_id, count(*) AS n_lines, count(g.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE g.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN g ON k.key = g.key GROUP BY r
+"""
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.secret_scan import scan_secrets
 
@@ -50,8 +68,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op5_bpe_codec, op8_secret_scan, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op2_language_id, op5_bpe_codec, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": OP7_SQL}
