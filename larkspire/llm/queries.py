@@ -34,6 +34,25 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), digests=True)
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.minhash_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n u ON u.doc_id = x JOIN n v ON v.doc_id = y WHERE 100 * c >= 75 * (u.n + v.n - c)),
+r(x, y) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.y, d.doc_id) AS component_id, coalesce(m.y, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.x = d.doc_id
+"""
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.line_dedup import dedup_lines
 
@@ -74,8 +93,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op4_decontaminate, op5_bpe_codec, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op2_language_id, op4_decontaminate, op5_bpe_codec, op6_minhash_dedup, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7_SQL}
+    return {"op6_minhash_dedup": OP6_SQL, "op7_line_dedup": OP7_SQL}
