@@ -11,6 +11,7 @@ every adjacent pair encodes to itself; agreement at both ends of the window ther
 from __future__ import annotations
 
 import json
+import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from hashlib import sha256
@@ -21,7 +22,11 @@ from pyspark.sql import functions as F
 
 from larkspire.llm.common import map_chunks
 
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 300_000
+#: The vocabulary file's own pattern of pre-tokens, and the characters for which cutting by it here is exact: below this
+#: one, text is in composed form already and lower case depends on no neighbour.
+PLAIN_BELOW = "\u0250"
+PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: Stretches up to this many characters are encoded in one call.
 LONG_CHARS = 512
 #: Characters in a leaf of the tree.
@@ -32,6 +37,8 @@ class TreeCodec:
     """Encodes as `Tokenizer.encode(text, add_special_tokens=False)` and decodes as `decode(ids, skip_special_tokens=False)`."""
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core; its threads would only wait
+        import regex
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
@@ -51,7 +58,15 @@ class TreeCodec:
         self.inner = BPE(vocabulary, merges)  # for pieces that don't end their word
         self.size = {i: len(t) - len(self.suffix) * (bool(self.suffix) and t.endswith(self.suffix)) for t, i in vocabulary.items()}
         self.pool = ThreadPoolExecutor(2)
-        self.memo: dict[str, tuple[int, str, str]] = {}
+        self.memo: dict[str, tuple[int, str, str]] = {}  # stretches
+        self.words: dict[str, tuple[int, str, str]] = {}  # pre-tokens
+        self.token = {i: self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())}
+        self.ends = {i for i, t in self.token.items() if self.suffix and t.endswith(self.suffix)}
+        # Pre-tokens can be cut here if the file's steps are the known ones; else every stretch goes to the library.
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        first, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        known = steps == ["NFC", "Replace", "Lowercase"] and first.get("pattern") == {"Regex": PRETOKENS} and [x.get("type") for x in rest] == ["ByteLevel"]
+        self.cut = regex.compile(PRETOKENS).findall if known and self.ends else None
 
     def _symbols(self, piece: str, ends_word: bool) -> list[int]:
         return [t.id for t in (self.final if ends_word else self.inner).tokenize(piece)] if piece else []
@@ -100,18 +115,49 @@ class TreeCodec:
     def _entry(self, ids: list[int], tokens: list[str]) -> tuple[int, str, str]:
         return len(ids), " ".join(map(str, ids)), " ".join(tokens)
 
+    def _encode_words(self, words: set[str]) -> None:
+        """Encode pre-tokens in one call: every one ends with a token that has the end-of-word mark."""
+        need = words - self.words.keys()
+        if len(self.words) + len(need) > MEMO_ENTRIES:
+            self.words.clear()
+            need = words
+        if not need:
+            return
+        order, token, ends, start = list(need), self.token, self.ends, 0
+        ids = self.tokenizer.encode_batch([" ".join(order)], add_special_tokens=False)[0].ids
+        stops = [i for i, x in enumerate(ids, 1) if x in ends]
+        if len(stops) != len(order):
+            raise AssertionError("a pre-token didn't end with the end-of-word mark")
+        shown = list(map(str, ids))
+        named = list(map(token.__getitem__, ids))
+        for word, stop in zip(order, stops):
+            self.words[word] = stop - start, " ".join(shown[start:stop]), " ".join(named[start:stop])
+            start = stop
+
     def encode_stretches(self, stretches: set[str]) -> None:
         need = stretches - self.memo.keys()
         if len(self.memo) + len(need) > MEMO_ENTRIES:
             self.memo.clear()
             need = stretches
-        short = [s for s in need if len(s) <= LONG_CHARS]
-        for s, e in zip(short, self.tokenizer.encode_batch(short, add_special_tokens=False)):
-            self.memo[s] = self._entry(e.ids, e.tokens)
+        split, whole = {}, []
         for s in need:
             if len(s) > LONG_CHARS:
                 ids = self._long(s)
-                self.memo[s] = self._entry(ids, list(map(self.tokenizer.id_to_token, ids)))
+                self.memo[s] = self._entry(ids, list(map(self.token.__getitem__, ids)))
+            elif self.cut and (s.isascii() or max(s) < PLAIN_BELOW) and not any(x in s for x in self.specials):
+                split[s] = self.cut(s.lower())
+            else:
+                whole.append(s)
+        self._encode_words({w for ws in split.values() for w in ws})
+        words = self.words
+        for s, ws in split.items():
+            if len(ws) == 1:
+                self.memo[s] = words[ws[0]]
+            else:
+                found = [words[w] for w in ws]
+                self.memo[s] = sum([x[0] for x in found]), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+        for s, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
+            self.memo[s] = self._entry(e.ids, e.tokens)
 
     def encode_texts(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """For each text its number of tokens, its ids joined by spaces and its decoded text."""
