@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,18 +19,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder (spark.checkpoint.dir); set one only where none is configured, as in tests."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/larkspire-checkpoints")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; one of our own only where it is unset, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or "file:/tmp/larkspire-checkpoints").rstrip("/")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone at exit
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder and cut the lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write df as a table in the shared folder and read it again: lineage ends there, and lost executors lose nothing.
+
+    Parquet keeps such tables a few times smaller than checkpoint() would. They are removed when the driver exits.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/larkspire/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_chunks(df: DataFrame, function: Callable[[pa.Table], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:

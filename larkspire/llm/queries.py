@@ -22,6 +22,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.suffix_dedup import dedup_substrings
+
+    return dedup_substrings(read_table(spark, sf_dir, "documents"), digests=True)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.decontaminate import find_leaks
 
@@ -93,7 +99,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op4_decontaminate, op5_bpe_codec, op6_minhash_dedup, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op2_language_id, op3_suffix_dedup, op4_decontaminate, op5_bpe_codec, op6_minhash_dedup, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
