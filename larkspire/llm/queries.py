@@ -16,6 +16,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from larkspire.llm.ann import nearest
+
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.language_id import identify_held_out
 
@@ -99,7 +106,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_suffix_dedup, op4_decontaminate, op5_bpe_codec, op6_minhash_dedup, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op1_nearest, op2_language_id, op3_suffix_dedup, op4_decontaminate, op5_bpe_codec, op6_minhash_dedup, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
