@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,7 +189,9 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", doc_id: str
         if digests:
             more = [pa.array([sha256(r[k].encode()).hexdigest() for r in rows], pa.string()) for k in (1, 2)]
         else:
-            more = [pa.array([[int(x) for x in r[1].split()] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.string())]
+            ids = pa.array(np.fromstring(" ".join(r[1] for r in rows if r[0]), np.int32, sep=" "))
+            ends = np.cumsum([0] + [r[0] for r in rows]).astype(np.int32)
+            more = [pa.ListArray.from_arrays(pa.array(ends), ids), pa.array([r[2] for r in rows], pa.string())]
         return pa.record_batch([t.column(0), n, *more], names=names)
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
