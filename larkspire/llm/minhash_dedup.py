@@ -5,9 +5,9 @@ is a table key. The HALVES * HALVES tables so need 2 * HALVES * DEPTH minhashes
 similarity of 0.75 one key matches with probability 0.42, so at least one of each collection, and with them a table, matches
 with probability 0.999; pairs of similarity 0.1 meet with probability 0.0002.
 
-Documents with the same set form one class, represented by its smallest id. Table rows that meet become candidate edges,
-from each bucket's smallest id and from each id to the next one; a task resolves what meets within it before the shuffle,
-so a bucket of very many copies sends few rows. Components of the candidate edges are clusters. Every cluster is confirmed
+Documents with the same set form one class, represented by its smallest id. Table rows that meet become candidate edges
+from each bucket's smallest id. What meets within a task is contracted before the shuffle and goes on under one id, so a
+group of very many near copies sends few rows and edges. Components of the candidate edges are clusters. Every cluster is confirmed
 exactly: it is dealt in blocks of about BLOCK_DOCS documents, each pair of blocks is compared on full sets in one call, and
 edges that span the confirmed links come out. No list of all pairs is made. Components of those are the answer.
 """
@@ -105,23 +105,12 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _bucket_edges(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows sorted by key, then node: the flags of each bucket's first row, and edges first-node and previous-node."""
+    """For rows sorted by key, then node: the flags of each bucket's first row, and edges from it to the others."""
     opens = np.ones(len(keys), bool)
     opens[1:] = keys[1:] != keys[:-1]
     start = np.maximum.accumulate(np.where(opens, np.arange(len(keys)), 0))
-    later = np.flatnonzero(~opens)
-    a, b = np.concatenate([nodes[start[later]], nodes[later - 1]]), np.concatenate([nodes[later], nodes[later]])
-    return opens, a, b
-
-
-def _unique_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    real = a != b
-    a, b = np.minimum(a, b)[real], np.maximum(a, b)[real]
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[new], b[new]
+    other = nodes[start] != nodes
+    return opens, nodes[start[other]], nodes[other]
 
 
 def candidate_edges(representatives: DataFrame) -> DataFrame:
@@ -134,18 +123,23 @@ def candidate_edges(representatives: DataFrame) -> DataFrame:
         order = np.lexsort((nodes, keys))
         keys, nodes = keys[order], nodes[order]
         opens, a, b = _bucket_edges(keys, nodes)
-        a, b = _unique_edges(a, b)
-        # One row a bucket and chunk goes on; what met here is an edge already, dealt by its node.
-        other = pa.array(np.concatenate([np.zeros(int(opens.sum()), np.int64), a]), mask=np.concatenate([np.ones(int(opens.sum()), bool), np.zeros(len(a), bool)]))
-        return pa.record_batch([pa.array(np.concatenate([keys[opens], b])), pa.array(np.concatenate([nodes[opens], b])), other], names=["key", "node", "other"])
+        root, moved = contract(a, b)
+        # One row a bucket and chunk goes on, under the root of what met here; that is an edge already, dealt by its node.
+        keys, nodes = keys[opens], nodes[opens]
+        if len(moved):
+            order = np.argsort(moved)
+            at = np.minimum(np.searchsorted(moved[order], nodes), len(moved) - 1)
+            nodes = np.where(moved[order][at] == nodes, root[order][at], nodes)
+        other = pa.array(np.concatenate([np.zeros(len(keys), np.int64), root]), mask=np.concatenate([np.ones(len(keys), bool), np.zeros(len(root), bool)]))
+        return pa.record_batch([pa.array(np.concatenate([keys, moved])), pa.array(np.concatenate([nodes, moved])), other], names=["key", "node", "other"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, first_node, last_node = None, None, None
-        parts, size = [], 0
+        last_key, first_node = None, None
+        parts: list = []
 
         def out() -> Iterator[pa.RecordBatch]:
             if parts:
-                a, b = _unique_edges(*(np.concatenate([p[k] for p in parts]) for k in (0, 1)))
+                a, b = contract(*(np.concatenate([p[k] for p in parts]) for k in (0, 1)))
                 yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -157,16 +151,15 @@ def candidate_edges(representatives: DataFrame) -> DataFrame:
                 parts.append((batch.column(2).to_numpy(zero_copy_only=False)[made].astype(np.int64), node[made]))
                 key, node = key[~made], node[~made]
             if len(key):
-                if key[0] == last_key:  # the bucket goes on: put its first and last row before
-                    key = np.concatenate([[last_key, last_key], key])
-                    node = np.concatenate([[first_node, last_node], node])
+                if key[0] == last_key:  # the bucket goes on: put its first row before
+                    key, node = np.append(last_key, key), np.append(first_node, node)
                 opens, a, b = _bucket_edges(key, node)
                 parts.append((a, b))
-                last_key, first_node, last_node = key[-1], node[np.flatnonzero(opens)[-1]], node[-1]
-            size += sum(len(p[0]) for p in parts[-2:])
+                last_key, first_node = key[-1], node[np.flatnonzero(opens)[-1]]
+            size = sum(len(p[0]) for p in parts)
             if size >= EDGE_FLUSH:
                 yield from out()
-                parts, size = [], 0
+                parts = []
         yield from out()
 
     dealt = map_chunks(representatives.select("did", "sig"), deal, "key bigint, node bigint, other bigint")
