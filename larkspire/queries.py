@@ -356,7 +356,7 @@ _request("terms_request_fts", "documents", {"t": {"terms": {"field": "source", "
 _request("histogram", "lineitem", {"h": {"histogram": {"field": "l_extendedprice", "interval": 5000, "offset": 100}, "aggs": {"q": {"sum": {"field": "l_quantity"}}}}}, "SELECT floor((l_extendedprice - 100) / 5000) * 5000 + 100 AS bucket, count(*) AS doc_count, round(sum(l_quantity), 2) AS q FROM lineitem GROUP BY 1", ("bucket", "doc_count", "round(q, 2) AS q"))
 _request("histogram_filled", "part", {"h": {"histogram": {"field": "p_retailprice", "interval": 0.5, "min_doc_count": 0}}}, "WITH b AS (SELECT CAST(floor(p_retailprice / 0.5) AS BIGINT) AS k FROM part) SELECT r.k * 0.5::DOUBLE AS bucket, count(b.k) AS doc_count FROM (SELECT unnest(range((SELECT min(k) FROM b), (SELECT max(k) FROM b) + 1)) AS k) r LEFT JOIN b ON b.k = r.k GROUP BY r.k")
 _request("date_histogram", "events", {"h": {"date_histogram": {"field": "ts", "fixed_interval": "1d"}, "aggs": {"m": {"max": {"field": "value"}}}}}, "SELECT floor(epoch_us(ts) / 1000.0 / 86400000) * 86400000::DOUBLE AS bucket, count(*) AS doc_count, max(value) AS m FROM events GROUP BY 1")
-_request("range_buckets", "events", {"r": {"range": {"field": "value", "ranges": [{"to": 10}, {"from": 10, "to": 20.5}, {"from": 15, "to": 60}, {"from": 20.5}, {"key": "none", "from": 1e9}]}, "aggs": {"m": {"min": {"field": "event_id"}}}}}, "WITH r(bucket, a, b) AS (VALUES ('*-10', -1e300, 10.0), ('10-20.5', 10.0, 20.5), ('15-60', 15.0, 60.0), ('20.5-*', 20.5, 1e300), ('none', 1e9, 1e300)) SELECT bucket, count(event_id) AS doc_count, min(event_id) AS m FROM r LEFT JOIN events ON value >= a AND value < b GROUP BY bucket")
+_request("range_buckets", "events", {"r": {"range": {"field": "value", "ranges": [{"to": 10}, {"from": 10, "to": 20.5}, {"from": 15, "to": 60}, {"from": 20.5}, {"key": "none", "from": 1e9}]}, "aggs": {"m": {"min": {"field": "event_id"}}}}}, "WITH r(bucket, a, b) AS (VALUES ('*-10', -1e300, 10.0), ('10-20.5', 10.0, 20.5), ('15-60', 15.0, 60.0), ('20.5-*', 20.5, 1e300), ('none', 1e9, 1e300)) SELECT bucket, count(event_id) AS doc_count, coalesce(min(event_id), -1) AS m FROM r LEFT JOIN events ON value >= a AND value < b GROUP BY bucket", ("bucket", "doc_count", "coalesce(m, -1) AS m"))
 _request("stats", "lineitem", {"s": {"stats": {"field": "l_extendedprice"}}}, "SELECT min(l_extendedprice) AS s_min, max(l_extendedprice) AS s_max, round(sum(l_extendedprice), 1) AS s_sum, count(l_extendedprice) AS s_count, round(avg(l_extendedprice), 4) AS s_avg FROM lineitem", ("s_min", "s_max", "round(s_sum, 1) AS s_sum", "s_count", "round(s_avg, 4) AS s_avg"))
 _request("extended_stats", "lineitem", {"s": {"extended_stats": {"field": "l_quantity"}}}, "SELECT min(l_quantity) AS s_min, max(l_quantity) AS s_max, round(sum(l_quantity), 1) AS s_sum, count(l_quantity) AS s_count, round(avg(l_quantity), 6) AS s_avg, round(var_pop(l_quantity), 6) AS variance, round(stddev_pop(l_quantity), 6) AS deviation FROM lineitem", ("s_min", "s_max", "round(s_sum, 1) AS s_sum", "s_count", "round(s_avg, 6) AS s_avg", "round(s_variance_population, 6) AS variance", "round(s_std_deviation_population, 6) AS deviation"))
 _request("percentiles", "lineitem", {"p": {"percentiles": {"field": "l_quantity", "percents": [1, 50, 99.5], "exact": True}}}, 'SELECT quantile_cont(l_quantity, 0.01) AS p_p1, quantile_cont(l_quantity, 0.5) AS p_p50, quantile_cont(l_quantity, 0.995) AS p_p995 FROM lineitem', ("p_p1", "p_p50", "`p_p99.5` AS p_p995"))
