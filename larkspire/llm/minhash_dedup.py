@@ -222,7 +222,8 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, similarity: int = SIMI
     """Edges (a, b) that span the links within clusters (node, component); docs has did and text."""
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
     placed = clusters.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.join(placed, docs["did"] == placed["node"])
+    # What is in clusters grows with the input, so it is merged with the texts at every size and never broadcast.
+    texts = docs.join(placed.hint("merge"), docs["did"] == placed["node"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = texts.select("component", "block", "node", "text", other.alias("other"))
     dealt = pairs.select("component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "text")
