@@ -51,7 +51,7 @@ class WholeTokenCounter:
         if len(table) + len(keys) > len(fixed) + MEMO_ENTRIES:
             table.clear()
             table.update(fixed)
-        missing = list(keys)
+        missing = [k for k in keys if k not in table]
         for key, ids in zip(missing, self.processor.encode([lead + k for k in missing])):
             table[key] = len(ids) - extra
 
