@@ -127,7 +127,7 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     out: tuple[list, list, list] = ([], [], [])
     for q in range(len(queries)):
         found = best_at[q][best_at[q] >= 0]
-        scores = (points[found] * queries[q]).sum(1)  # one way of adding up for all, so equal vectors tie
+        scores = np.cumsum(points[found] * queries[q], axis=1)[:, -1]  # one way of adding up for all, so equal vectors tie
         pairs = [(-s, int(i)) for s, p in zip(scores.tolist(), found) for i in ids[start[p] : min(stop[p], start[p] + k + 1)] if i != query_ids[q]]
         pairs = sorted(set(pairs))[:k]
         out[0].extend([q] * len(pairs)), out[1].extend(i for _, i in pairs), out[2].extend(-s for s, _ in pairs)

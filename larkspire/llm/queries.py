@@ -23,6 +23,14 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+OP1_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id, list_dot_product(q.e, v.e) AS score FROM v q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.language_id import identify_held_out
 
@@ -35,6 +43,22 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf_dir, "documents"), digests=True)
 
 
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d),
+w AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS k FROM p),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM w) WHERE n > 1),
+i AS (SELECT doc_id, s, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
+g AS (SELECT doc_id, s, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM i),
+m AS (SELECT doc_id, g, min(s) AS a, max(s) + 100 AS b FROM g GROUP BY doc_id, g),
+t AS (SELECT doc_id, count(*) AS n, sum(b - a) AS removed FROM m GROUP BY doc_id),
+k AS (SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS x, a AS y FROM m UNION ALL SELECT doc_id, max(b), NULL FROM m GROUP BY doc_id),
+o AS (SELECT k.doc_id, string_agg(substr(h, 2 * x + 1, CASE WHEN y IS NULL THEN len(h) ELSE 2 * (y - x) END), '' ORDER BY x) AS h FROM k JOIN d ON d.doc_id = k.doc_id GROUP BY k.doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(t.removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(t.n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(o.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN o ON o.doc_id = d.doc_id
+"""
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.decontaminate import find_leaks
 
@@ -110,4 +134,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_minhash_dedup": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_nearest": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op6_minhash_dedup": OP6_SQL, "op7_line_dedup": OP7_SQL}
