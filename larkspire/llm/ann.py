@@ -31,6 +31,8 @@ LEAF_ROWS = 64
 STEP_LEAVES = 8
 #: Verified points held beyond those asked for, in case rounding reorders nearly equal scores.
 SPARE = 4
+#: Scores that differ by less, relatively, may be equal ones that were added up in different orders.
+TIE = 1e-12
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -122,6 +124,13 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
         scores = np.concatenate([best[active], scores], axis=1)
         places = np.concatenate([best_at[active], places], axis=1)
         pick = np.argpartition(scores, scores.shape[1] - hold, axis=1)[:, -hold:]
+        # Where points tie at the edge of what is held, those with the smaller ids are.
+        edge = np.take_along_axis(scores, pick, 1).min(1)
+        near = TIE * (1 + np.abs(edge))
+        for r in np.flatnonzero((scores >= (edge - near)[:, None]).sum(1) > hold):
+            if np.isfinite(edge[r]):
+                at = np.flatnonzero(scores[r] >= edge[r] - near[r])
+                pick[r] = at[np.lexsort((ids[start[places[r, at]]], scores[r, at] <= edge[r] + near[r]))[:hold]]
         best[active] = np.take_along_axis(scores, pick, 1)
         best_at[active] = np.take_along_axis(places, pick, 1)
     out: tuple[list, list, list] = ([], [], [])

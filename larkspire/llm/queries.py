@@ -65,6 +65,43 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+OP4_SQL = r"""
+WITH t AS (SELECT 0 AS src, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT src, id, unnest(a) AS word, unnest(range(len(a))) AS pos
+  FROM (SELECT src, id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') AS a FROM t)),
+c AS (SELECT *, regexp_replace(word, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') AS core,
+  coalesce(lag(regexp_matches(word, '[.!?:;]["'')\]}»”’]*$')) OVER (PARTITION BY src, id ORDER BY pos), true) AS opens FROM w),
+k AS (SELECT *, lower(core) AS low, regexp_extract(lower(core), '^([$€£]?[-+]?\d+(?:[.,]\d+)*)([a-zµ°%€$£/]+)$', ['n', 'u']) AS nu FROM c),
+x AS (SELECT src, id, pos, CASE
+  WHEN low IN (UNITS) OR lower(word) IN (UNITS) THEN [{'t': '<unit>', 'v': coalesce(nullif(low, ''), word)}]
+  WHEN core = '' THEN []
+  WHEN regexp_full_match(low, '[-+]?(?:\d+(?:[.,:/]\d+)*)(?:st|nd|rd|th|%)?') THEN [{'t': '<num>', 'v': low}]
+  WHEN nu.u IN (UNITS) THEN [{'t': '<num>', 'v': nu.n}, {'t': '<unit>', 'v': nu.u}]
+  WHEN NOT opens AND regexp_matches(core, '^\p{Lu}') THEN [{'t': '<name>', 'v': low}]
+  ELSE [{'t': low, 'v': NULL}] END AS parts FROM k),
+u AS (SELECT src, id, pos, unnest(parts) AS part, unnest(range(len(parts))) AS sub FROM x),
+y AS (SELECT src, id, part.t AS t, part.v AS v, row_number() OVER (PARTITION BY src, id ORDER BY pos, sub) - 1 AS i FROM u),
+g AS (SELECT * FROM (SELECT src, id, i, concat_ws(chr(1), t, lead(t, 1) OVER p, lead(t, 2) OVER p, lead(t, 3) OVER p, lead(t, 4) OVER p) AS w,
+  count(*) OVER (PARTITION BY src, id) AS n FROM y WINDOW p AS (PARTITION BY src, id ORDER BY i)) WHERE i <= greatest(n - 5, 0)),
+hits AS (SELECT b.id AS item, d.id AS doc, b.i AS bi, d.i AS di, b.w AS w FROM g b JOIN g d ON b.src = 1 AND d.src = 0 AND b.w = d.w),
+nb AS (SELECT id AS item, count(DISTINCT w) AS n FROM g WHERE src = 1 GROUP BY id),
+ok AS (SELECT item, doc, m, n FROM (SELECT item, doc, count(DISTINCT w) AS m FROM hits GROUP BY item, doc) JOIN nb USING (item) WHERE m >= 0.75 * n),
+q AS (SELECT item, doc, bi + o.k AS bi, di + o.k AS di FROM hits JOIN ok USING (item, doc) CROSS JOIN range(5) o(k)),
+votes AS (SELECT q.item, q.doc, a.t AS kind, a.v AS own, b.v AS val, count(*) AS c FROM q
+  JOIN y a ON a.src = 1 AND a.id = q.item AND a.i = q.bi JOIN y b ON b.src = 0 AND b.id = q.doc AND b.i = q.di WHERE b.v IS NOT NULL GROUP BY ALL),
+best AS (SELECT item, doc, kind, own, max(c) AS top, sum(c) AS total, arg_max(val, (c, val)) AS most FROM votes GROUP BY item, doc, kind, own),
+slots AS (SELECT item, doc, sum(top) AS agreed, sum(total) AS total, count(*) FILTER (WHERE most <> own) AS changed FROM best GROUP BY item, doc)
+SELECT doc AS doc_id, item AS item_id, m AS n_matched, n AS n_windows, CAST(coalesce(changed, 0) AS BIGINT) AS n_changed
+FROM ok LEFT JOIN slots USING (item, doc) WHERE coalesce(agreed, 0) >= 0.75 * coalesce(total, 0)
+"""
+
+
+def op4_sql() -> str:
+    from larkspire.llm.decontaminate import UNITS
+
+    return OP4_SQL.replace("UNITS", ", ".join(f"'{u}'" for u in sorted(UNITS)))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larkspire.llm.bpe_codec import encode
 
@@ -134,4 +171,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_nearest": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op6_minhash_dedup": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_nearest": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op4_decontaminate": op4_sql(), "op6_minhash_dedup": OP6_SQL, "op7_line_dedup": OP7_SQL}
