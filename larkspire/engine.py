@@ -46,6 +46,18 @@ class SearchEngine:
     def table(self, name: str) -> Search:
         return Search(self.collection(name))
 
+    def search(self, query: dict) -> Search:
+        """The query that Search.to_dict() wrote down; its table is registered if there is none of its name."""
+        name = query["table"]["name"]
+        found = self.collections.get(name.lower()) or self.register_spec(query["table"])
+        columns = query["columns"]
+        return Search(found, tuple(map(tuple, query["full_text"])), tuple(query["filters"]), None if columns is None else tuple(columns), query["top_k"], tuple(query["ties"]), query["limit"])
+
+    def explain(self, text: str, mode: str = "formatted") -> str:
+        """Spark's plan of a statement."""
+        kinds = self.spark._jvm.org.apache.spark.sql.execution.ExplainMode
+        return self.sql(text)._jdf.queryExecution().explainString(kinds.fromString(mode))
+
     def materialize(self, name: str) -> DataFrame:
         return self.collection(name).materialize()
 

@@ -56,6 +56,20 @@ class Search:
         df = df.select(*wanted)
         return df if self.rows is None else df.limit(self.rows)
 
+    def to_dict(self) -> dict:
+        """The query for another session, with its table: SearchEngine.search() takes it. Filters must be SQL text."""
+        if any(not isinstance(f, str) for f in self.filters):
+            raise ValueError("a query with column expressions as filters can't be written down; use SQL text")
+        return {
+            "table": self.collection.spec().to_dict(),
+            "full_text": [list(c) for c in self.clauses],
+            "filters": list(self.filters),
+            "columns": None if self.columns is None else list(self.columns),
+            "top_k": self.top,
+            "ties": list(self.ties),
+            "limit": self.rows,
+        }
+
     def describe(self) -> dict:
         """The facts of the plan, for logs and tests."""
         wanted = list(self.columns or self.collection.public)

@@ -292,6 +292,12 @@ def spec_roundtrip(spark, sf_dir):
     return e.sql("SELECT doc_id, n_chars FROM documents WHERE n_chars > 1000")
 
 
+@query(f"SELECT doc_id, n_chars FROM documents WHERE {has('en')} AND n_chars > 1000")
+def query_roundtrip(spark, sf_dir):
+    search = engine(spark, sf_dir, "documents").table("documents").full_text("text", "en").where("n_chars > 1000").select("doc_id", "n_chars")
+    return SearchEngine(spark).search(search.to_dict()).frame()
+
+
 @query("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
 def union_all(spark, sf_dir):
     return engine(spark, sf_dir, "customer", "supplier").sql("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")

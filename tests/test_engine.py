@@ -239,3 +239,20 @@ def test_materialized(spark):
     assert values(e.sql(sql), "id", "_score") == before
     e.collection("t").release()
     assert values(e.sql(sql), "id", "_score") == before
+
+
+def test_queries_written_down(spark, tmp_path):
+    frame(spark).write.parquet(str(tmp_path / "x"))
+    e = SearchEngine(spark)
+    e.register("t", [SplitSpec("s", str(tmp_path / "x"), FIELDS, deleted="id = 4")])
+    search = e.table("t").full_text("category", "books").where("id > 1").select("id", "_score").top_k(5, "id").limit(3)
+    text = json.dumps(search.to_dict(), sort_keys=True)
+    again = SearchEngine(spark).search(json.loads(text))
+    assert json.dumps(again.to_dict(), sort_keys=True) == text
+    assert values(again.frame(), "id", "_score") == values(search.frame(), "id", "_score") and ids(again.frame()) == [2]
+    with pytest.raises(ValueError, match="written down"):
+        e.table("t").where(spark.range(1).id > 1).to_dict()
+
+
+def test_explain(spark):
+    assert "Filter" in std(spark).explain("SELECT id FROM t WHERE full_text(category, 'books')")
