@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from larkspire.llm.common import map_chunks
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 250_000
 #: The vocabulary file's own pattern of pre-tokens, and the characters for which cutting by it here is exact: below this
 #: one, text is in composed form already and lower case depends on no neighbour.
 PLAIN_BELOW = "\u0250"
@@ -160,6 +160,10 @@ class TreeCodec:
         for s, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
             self.memo[s] = self._entry(e.ids, e.tokens)
 
+    def forget(self) -> None:
+        self.memo.clear()
+        self.words.clear()
+
     def encode_texts(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """For each text its number of tokens, its ids joined by spaces and its decoded text."""
         parts = [[w for w in (t or "").replace("\n", " ").split(" ") if w] for t in texts]
@@ -197,4 +201,4 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", doc_id: str
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
     kinds = ["string", "string"] if digests else ["array<int>", "string"]
     kind = docs.schema[doc_id].dataType.simpleString()
-    return map_chunks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {kind}, n_tokens bigint, {names[2]} {kinds[0]}, {names[3]} {kinds[1]}")
+    return map_chunks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {kind}, n_tokens bigint, {names[2]} {kinds[0]}, {names[3]} {kinds[1]}", done=lambda: codec(tokenizer_file).forget())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_libc = ctypes.CDLL(None)
 #: Rows handled together inside a Python worker; bounds what one call holds besides the Arrow batch itself.
 CHUNK_ROWS = 512
 
@@ -42,8 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_chunks(df: DataFrame, function: Callable[[pa.Table], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
-    """mapInArrow in chunks of CHUNK_ROWS; function gets a Table of df's columns and returns rows of schema."""
+def give_back() -> None:
+    """Return freed memory to the system: Spark uses its Python workers again, for other stages, too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(_libc, "malloc_trim", None)) is not None:
+        trim(0)
+
+
+def map_chunks(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow in chunks of CHUNK_ROWS; function gets a batch of df's columns and returns rows of schema.
+
+    done is called when a task ends.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,6 +65,9 @@ def map_chunks(df: DataFrame, function: Callable[[pa.Table], pa.RecordBatch | pa
                 out = function(batch.slice(start, CHUNK_ROWS))
                 if out is not None and out.num_rows:
                     yield from out.to_batches() if isinstance(out, pa.Table) else (out,)
+        if done is not None:
+            done()
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import map_chunks
+from larkspire.llm.common import give_back, map_chunks
 
 WINDOW = 5
 SIMILARITY = 0.75
@@ -296,5 +296,7 @@ def _keeper(shared, similarity: float, text_at: int):
                         ids, word_of = reader.encode(words)
                         keep[start + i] = not find_in(words, ids, word_of, shared.value, similarity)
             yield batch.filter(pa.array(keep))
+        del reader
+        give_back()
 
     return run

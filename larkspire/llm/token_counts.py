@@ -55,6 +55,9 @@ class WholeTokenCounter:
         for key, ids in zip(missing, self.processor.encode([lead + k for k in missing])):
             table[key] = len(ids) - extra
 
+    def forget(self) -> None:
+        self.spaced, self.bare = dict(self.whole), {}
+
     def count(self, texts: list[str | None]) -> list[int]:
         if not self.cuts_words:
             return [len(x) for x in self.processor.encode([t or "" for t in texts])]
@@ -108,5 +111,5 @@ def count_tokens(docs: DataFrame, model_file: str, text: str = "text", doc_id: s
         return pa.record_batch([t.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    counted = map_chunks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
+    counted = map_chunks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint", done=lambda: counter(model_file).forget())
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
