@@ -9,6 +9,10 @@ mostly share it: a text is a row of short runs of windows with one digit string
 hash of the digit, a hash of the run's whole content, and places. Runs that are equal as a whole are settled by those hashes (the
 first stays, the others are repeats); a task settles what it holds before the shuffle. For digits that occur in different
 runs the content is fetched, grouped by a second digit of 83 or more bytes and refined by passes over 8-byte digits.
+
+Runs are dealt out by ranges of (digit, content), so a digit that very many texts have spreads over tasks. One with more than
+HOT_RUNS different contents would make groups too large for a task's memory: its windows take their remaining bytes as one
+last digit, a 128-bit hash, and the first of each is found by an aggregation that combines before its shuffle.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ CLASSES = 4
 BLOCK, PLACE_BITS = 1 << 19, 20
 #: Runs of windows that are refined together.
 TOGETHER = 30_000
+#: Different contents of a digit that are still compared in one task.
+HOT_RUNS = 20_000
 _random = np.random.default_rng(32)
 BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FACTORS = _random.integers(0, 1 << 63, 5, dtype=np.uint64) | np.uint64(1)
@@ -126,7 +132,10 @@ def _deal_runs(t: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs sorted by key, content and place: repeats (n negative), and the first of each content of keys with several."""
+    """From runs sorted by key, content and place: repeats (n negative), and the first of each content of keys with several.
+
+    A partition's first and last key may go on in its neighbours, so they count as keys with several.
+    """
     last: tuple | None = None  # key, content and first place of the open group
     waiting: pa.RecordBatch | None = None  # its first run, while the key has no other content
     for batch in batches:
@@ -162,6 +171,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             several = np.bincount(group) > 1
             if goes_on:
                 several[0] = True  # a head of the open key is another content of it
+            elif last is None:
+                several[1] = True  # the partition's first key
             if waiting is not None and goes_on and group[0] == 0:
                 yield waiting  # else its key has ended with one content
             wanted = several[group]
@@ -171,6 +182,22 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.take(pa.array(heads[wanted]))
             waiting = batch.slice(heads[-1], 1) if hold else None
         last = (key[-1], content[-1], fd[-1], fr[-1], fs[-1])
+    if waiting is not None:
+        yield waiting
+
+
+def _window_rows(t: pa.RecordBatch) -> pa.RecordBatch:
+    """The windows of runs, each with a hash of all its bytes."""
+    digests, rows, starts = [], [], []
+    for row, (text, wanted) in enumerate(zip(t.column(2).to_pylist(), t.column(3).to_pylist())):
+        data = (text or "").encode("utf-8", "replace")
+        for w in wanted:
+            for s in range(w["start"], w["start"] + w["n"]):
+                digests.append(xxhash.xxh3_128_digest(data[s : s + THRESHOLD]))
+                rows.append(row), starts.append(s)
+    h = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+    did, rk = (t.column(k).to_numpy()[np.array(rows, np.int64)] for k in (0, 1))
+    return pa.record_batch([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(did), pa.array(rk), pa.array(starts, pa.int32())], names=["w1", "w2", "did", "rk", "start"])
 
 
 def _content_rows(t: pa.RecordBatch) -> pa.RecordBatch:
@@ -282,13 +309,24 @@ def _placed(docs: DataFrame) -> DataFrame:
 def repeated_bytes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """_placed(docs), and its repeated intervals: did, rk, start, end. Intervals of a document may overlap."""
     placed = _placed(docs)
-    dealt = map_chunks(placed, _deal_runs, RUNS).repartition("key").sortWithinPartitions("key", "content", "did", "rk", "start")
+    # Ranges have no number of their own: spark.sql.shuffle.partitions holds, as for any other exchange.
+    dealt = map_chunks(placed, _deal_runs, RUNS).repartitionByRange("key", "content").sortWithinPartitions("key", "content", "did", "rk", "start")
     settled = cut(dealt.mapInArrow(_settle, RUNS))
     plain = settled.where("n < 0").select("did", "rk", "start", (-F.col("n")).alias("end"))
-    wanted = settled.where("n > 0").groupBy("did", "rk").agg(F.collect_list(F.struct("key", "start", "n", "place")).alias("wanted"))
-    content = map_chunks(placed.join(wanted, ["did", "rk"]).select("did", "rk", "text", "wanted"), _content_rows, "key bigint, did bigint, rk bigint, start int, n int, place int, body binary")
+    several = settled.where("n > 0")
+    hot = several.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > HOT_RUNS).select("key")
+
+    def of_document(runs_: DataFrame) -> DataFrame:
+        return placed.join(runs_.groupBy("did", "rk").agg(F.collect_list(F.struct("key", "start", "n", "place")).alias("wanted")), ["did", "rk"]).select("did", "rk", "text", "wanted")
+
+    hashed = cut(map_chunks(of_document(several.join(hot, "key")), _window_rows, "w1 bigint, w2 bigint, did bigint, rk bigint, start int"))
+    place = F.struct("did", "rk", "start")
+    first = hashed.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1")
+    again = hashed.join(first, ["w1", "w2"]).where(place != F.col("first")).select("did", "rk", "start", (F.col("start") + THRESHOLD).alias("end"))
+    wanted = several.join(hot, "key", "left_anti")
+    content = map_chunks(of_document(wanted), _content_rows, "key bigint, did bigint, rk bigint, start int, n int, place int, body binary")
     refined = content.repartition("key").sortWithinPartitions("key").mapInArrow(_refine, "did bigint, rk bigint, start int, end int")
-    return placed, plain.union(refined)
+    return placed, plain.union(refined).union(again)
 
 
 def dedup_substrings(docs: DataFrame, digests: bool = False) -> DataFrame:

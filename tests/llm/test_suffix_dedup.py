@@ -59,6 +59,12 @@ def test_small_batches_and_blocks(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_hot_digits(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT_RUNS", 2)
+    texts = corpus(9)
+    assert sorted(rows(S.dedup_substrings(documents(spark, texts, 5)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept")) == brute(texts)
+
+
 def test_edges(spark):
     assert S.dedup_substrings(documents(spark, [])).count() == 0
     a, b = "0123456789" * 9 + "x" * 30, "".join(chr(97 + i % 26) + str(i) for i in range(90))
