@@ -58,9 +58,15 @@ def _contracted(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _least_neighbour(both: DataFrame) -> DataFrame:
-    """For each u of the pairs (u, v) the least of u and its v. Aggregated before the shuffle, so hubs do no harm."""
-    return both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+def _with_least(pairs: DataFrame, both: DataFrame) -> DataFrame:
+    """pairs (u, v) with m, the least of u and of all that both (u, v) puts beside it.
+
+    The least is aggregated before its shuffle, so hubs do no harm there. The join is on an expression of u that Spark doesn't
+    know to be dealt out already, so that both sides get exchanges of their own and skewed ones, a hub's pairs, are split.
+    """
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    key = F.col("u").bitwiseXOR(F.lit(1)).alias("x")
+    return pairs.select(key, "u", "v").join(least.select(key, "m"), "x")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -73,12 +79,11 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # Large star: every larger neighbour v of u goes to u's least neighbour.
         both = edges.selectExpr("a AS u", "b AS v").union(edges.selectExpr("b AS u", "a AS v"))
-        large = both.where("v > u").join(_least_neighbour(both), "u").selectExpr("m AS a", "v AS b").distinct()
+        large = _with_least(both.where("v > u"), both).selectExpr("m AS a", "v AS b").distinct()
         # Small star: u and its smaller neighbours go to the least of them.
         down = large.selectExpr("b AS u", "a AS v")
-        least = _least_neighbour(down)
-        moved = down.join(least, "u").selectExpr("m AS a", "v AS b").where("a != b")
-        edges = cut(moved.union(least.selectExpr("m AS a", "u AS b")).where("a != b").distinct())
+        moved = _with_least(down, down)
+        edges = cut(moved.selectExpr("m AS a", "v AS b").union(moved.selectExpr("m AS a", "u AS b")).where("a != b").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("b")).first()
         if now[0] == now[2] and tuple(now) == told:  # each node has one edge, to its component, and nothing moves
             break
