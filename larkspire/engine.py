@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspire.operators.buckets import aggregate
@@ -20,6 +21,7 @@ class SearchEngine:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.collections: dict[str, Collection] = {}
+        self._plain: dict[str, str] = {}
 
     def register(self, name: str, splits: list[SplitSpec | DataFrame | str], schema: T.StructType | None = None, fields: list[FieldSpec] | None = None) -> Collection:
         """Make a collection of splits. A DataFrame or path stands for a split of that content.
@@ -31,9 +33,16 @@ class SearchEngine:
             s = s if isinstance(s, SplitSpec) else SplitSpec(f"split-{i}", s)
             made.append(s if s.fields or not fields else s.with_fields(fields))
         found = self.collections[name.lower()] = Collection(self.spark, name, made, schema)
-        found.frame().select(*[c for c in found.public if c != SCORE]).selectExpr("*", f"CAST(NULL AS FLOAT) AS {SCORE}").select(*found.public).createOrReplaceTempView(name)
+        self._show(found)
         return found
 
+    def _show(self, c: Collection) -> None:
+        """Views of the table without scores: one of its name, and one that no other engine of the session replaces."""
+        plain = c.frame().withColumn(SCORE, F.lit(None).cast("float")).select(*c.public)
+        plain.createOrReplaceTempView(c.name)
+        own = self._plain.setdefault(c.name.lower(), f"__larkspire_{next(_numbers)}")
+        plain.createOrReplaceTempView(own)
+
     def register_spec(self, spec: TableSpec | dict) -> Collection:
         spec = TableSpec.from_dict(spec) if isinstance(spec, dict) else spec
         return self.register(spec.name, list(spec.splits), spec.schema)
@@ -59,7 +68,16 @@ class SearchEngine:
         return self.sql(text)._jdf.queryExecution().explainString(kinds.fromString(mode))
 
     def materialize(self, name: str) -> DataFrame:
-        return self.collection(name).materialize()
+        """Keep the collection's table in memory and on disk, with its texts prepared, for the queries that follow."""
+        c = self.collection(name)
+        kept = c.materialize()
+        self._show(c)
+        return kept
+
+    def release(self, name: str) -> None:
+        c = self.collection(name)
+        c.release()
+        self._show(c)
 
     def sql(self, text: str) -> DataFrame:
         """Spark SQL over collections and any other tables, with full_text(field, 'query') and _score."""
@@ -67,6 +85,8 @@ class SearchEngine:
         return self.spark.sql(rewrite(text, known, self._view))
 
     def _view(self, name: str, calls: list[Call], scored: bool) -> tuple[str, list[str]]:
+        if not calls:
+            return self._plain[name], []
         c = self.collection(name)
         nodes, compiler = [c.parse(x.field, x.query) for x in calls], c.compiler()
         columns = [f"__match_{i}" for i in range(len(nodes))]

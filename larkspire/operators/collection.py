@@ -77,7 +77,9 @@ class Collection:
     def materialize(self) -> DataFrame:
         """Keep the table, with its texts in padded form and their word counts, for many queries on it."""
         if self._prepared is None:
-            df = self.frame()
+            df, wanted = self.frame(), self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < wanted:  # a few large files would keep most cores idle in every query
+                df = df.repartition(wanted)
             texts = {n: F.array_join(RAW + n, "\n") if isinstance(self._raw_type(n), T.ArrayType) else F.col(RAW + n) for n, k in self.kinds.items() if k == "text"}
             df = df.select("*", *(padded(t).alias(PAD + n) for n, t in texts.items()), *(word_count(t).alias(WORDS + n) for n, t in texts.items()))
             self._prepared = df.persist()
