@@ -314,7 +314,8 @@ def repeated_bytes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     settled = cut(dealt.mapInArrow(_settle, RUNS))
     plain = settled.where("n < 0").select("did", "rk", "start", (-F.col("n")).alias("end"))
     several = settled.where("n > 0")
-    hot = several.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > HOT_RUNS).select("key")
+    # As a table its size is known before the joins with it are planned, so the runs aren't shuffled for a few keys or none.
+    hot = cut(several.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > HOT_RUNS).select("key"))
 
     def of_document(runs_: DataFrame) -> DataFrame:
         return placed.join(runs_.groupBy("did", "rk").agg(F.collect_list(F.struct("key", "start", "n", "place")).alias("wanted")), ["did", "rk"]).select("did", "rk", "text", "wanted")
