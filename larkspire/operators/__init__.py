@@ -1 +1 @@
-
+"""Collections, queries on them, and aggregation requests."""

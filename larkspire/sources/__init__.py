@@ -1 +1 @@
-
+"""Where collections are read from."""

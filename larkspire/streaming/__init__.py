@@ -1 +1 @@
-
+"""Collections are bounded tables, so the engine has no streaming operators; date_histogram covers windows over time."""
