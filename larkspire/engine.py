@@ -81,7 +81,7 @@ class SearchEngine:
 
     def sql(self, text: str) -> DataFrame:
         """Spark SQL over collections and any other tables, with full_text(field, 'query') and _score."""
-        known = {n: set(c.searchable()) for n, c in self.collections.items()}
+        known = {n: c.searchable_names for n, c in self.collections.items()}
         return self.spark.sql(rewrite(text, known, self._view))
 
     def _view(self, name: str, calls: list[Call], scored: bool) -> tuple[str, list[str]]:

@@ -6,7 +6,9 @@ Both are built from Spark's own functions, so Catalyst prunes a score nobody sel
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 from math import log
 
 from pyspark.sql import Column
@@ -40,16 +42,22 @@ class Searchable:
         self.column, self.kind, self.type = column, kind, type_
         self.multi = isinstance(type_, T.ArrayType)
         self.text = F.array_join(column, "\n") if self.multi and kind == "text" else column
-        self.pad = pad if pad is not None else padded(self.text)
-        self.words = words if words is not None else word_count(self.text)
+        self._pad, self._words = pad, words
+
+    @cached_property
+    def pad(self) -> Column:
+        return self._pad if self._pad is not None else padded(self.text)
+
+    @cached_property
+    def words(self) -> Column:
+        return self._words if self._words is not None else word_count(self.text)
 
 
 class Compiler:
-    def __init__(self, fields: dict[str, Searchable | None]):
-        """fields: None for one that this split lacks, though another has it."""
+    def __init__(self, fields: Mapping[str, Searchable]):
         self.fields = fields
 
-    def field(self, name: str) -> Searchable | None:
+    def field(self, name: str) -> Searchable:
         if name not in self.fields:
             raise ValueError(f"full_text: field '{name}' not found in any split")
         return self.fields[name]
@@ -64,8 +72,6 @@ class Compiler:
         if isinstance(node, Group):
             return self._group(node)
         f = self.field(node.field)
-        if f is None:
-            return F.lit(False)
         if isinstance(node, Range):
             return self._range(f, node)
         if isinstance(node, AnyOf):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator, Mapping
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,31 @@ from larkspire.sources.splits import open_split, read_split
 RAW, PAD, WORDS = "__raw_", "__pad_", "__words_"
 
 
+class _Fields(Mapping):
+    """Searchable fields by name; the columns of one are made when it is asked for."""
+
+    def __init__(self, collection: Collection):
+        self.collection, self.made = collection, {}
+
+    def __getitem__(self, name: str) -> Searchable:
+        c = self.collection
+        if name not in c.searchable_names:
+            raise KeyError(name)
+        if name not in self.made:
+            ahead = (F.col(PAD + name), F.col(WORDS + name)) if c._prepared is not None and c.kinds[name] == "text" else (None, None)
+            self.made[name] = Searchable(F.col(RAW + name), c.kinds[name], c._raw_type(name), *ahead)
+        return self.made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self.collection.searchable_names
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.collection.searchable_names)
+
+    def __len__(self) -> int:
+        return len(self.collection.searchable_names)
+
+
 class Collection:
     def __init__(self, spark: SparkSession, name: str, splits: list[SplitSpec], schema: T.StructType | None = None):
         self.spark, self.name = spark, name
@@ -90,22 +116,20 @@ class Collection:
             self._prepared.unpersist()
             self._prepared = None
 
-    def searchable(self) -> dict[str, Searchable | None]:
+    @cached_property
+    def searchable_names(self) -> frozenset[str]:
+        return frozenset(n for n in self.kinds if self._raw_type(n) is not None)
+
+    def searchable(self) -> Mapping[str, Searchable]:
         """For compiling queries against frame(); a field that a split lacks is null there and so matches nothing."""
-        ready, out = self._prepared is not None, {}
-        for name, kind in self.kinds.items():
-            type_ = self._raw_type(name)
-            if type_ is not None:
-                ahead = (F.col(PAD + name), F.col(WORDS + name)) if ready and kind == "text" else (None, None)
-                out[name] = Searchable(F.col(RAW + name), kind, type_, *ahead)
-        return out
+        return _Fields(self)
 
     def compiler(self) -> Compiler:
         return Compiler(self.searchable())
 
     def parse(self, field: str, query: str):
         """The tree of a query on a field, whose own and named fields all exist."""
-        known = self.searchable()
+        known = self.searchable_names
         if field not in known:
             raise ValueError(f"full_text: field '{field}' not found in any split")
         node = parse(query, field)
