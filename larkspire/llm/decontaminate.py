@@ -7,6 +7,9 @@ windows occur there. Then the slots are checked: the windows that match must agr
 stands for, so a question whose numbers or names were exchanged throughout is found, while text that only shares the shape,
 with one slot filled in conflicting ways, is not.
 
+A text may hold an item several times, filled differently each time. remove_leaks therefore judges each occurrence by itself
+where all windows together disagree; find_leaks judges all windows together only, as the SQL of op4_decontaminate states.
+
 The table of benchmark windows is broadcast in blocks of at most BLOCK_WINDOWS windows, each a pass over the documents, so
 what is broadcast has a fixed bound however large the benchmark is.
 """
@@ -199,8 +202,35 @@ def slots_agree(item: list[tuple[str, str | None]], pairs: list[tuple[int, list[
     return agreed >= SIMILARITY * total, changed
 
 
-def find_in(words: list[str], ids: np.ndarray, word_of: np.ndarray, block: Block, similarity: float) -> list[tuple]:
-    """(item_id, matched windows, windows, changed slots) of the items that text holds."""
+def occurrence_agrees(block: Block, item: int, hashes: np.ndarray, at: np.ndarray, source: np.ndarray, tokens: dict[int, list], similarity: float) -> bool:
+    """Whether the item stands somewhere in the text, judged by the windows of that occurrence alone.
+
+    at, source: places of the matching windows in the item and in the text. An occurrence is what lies around one alignment
+    (source - at): first just there, then with words put in or left out, up to half the item's length, which keeps the next
+    variant of the item apart. Each window of the item counts at its place closest to that alignment.
+    """
+    order = np.lexsort((at, source - at))
+    at, source = at[order], source[order]
+    shift, need = source - at, similarity * block.n_windows[item]
+    for slack in (0, max(len(block.tokens[item]) // 2, 1)):
+        for s in np.unique(shift):
+            a, b = np.searchsorted(shift, (s - slack, s + slack + 1))
+            if b - a < need:
+                continue
+            near = a + np.argsort(np.abs(shift[a:b] - s), kind="stable")
+            near = near[np.unique(at[near], return_index=True)[1]]
+            if len(np.unique(hashes[source[near]])) < need:
+                continue
+            if slots_agree(block.tokens[item], [(int(x), tokens[int(y)]) for x, y in zip(at[near], source[near])])[0]:
+                return True
+    return False
+
+
+def find_in(words: list[str], ids: np.ndarray, word_of: np.ndarray, block: Block, similarity: float, each: bool = False) -> list[tuple]:
+    """(item_id, matched windows, windows, changed slots) of the items that text holds.
+
+    each: an item is also found if one occurrence of it agrees, whatever other windows of the text say.
+    """
     h = windows(ids)
     if not len(h) or not len(block.hashes):
         return []
@@ -221,7 +251,7 @@ def find_in(words: list[str], ids: np.ndarray, word_of: np.ndarray, block: Block
         tokens = _tokens(words, ids, word_of, source[own])
         pairs = [(int(a), tokens[int(s)]) for a, s in zip(at[own], source[own])]
         agree, changed = slots_agree(block.tokens[item], pairs)
-        if agree:
+        if agree or (each and occurrence_agrees(block, item, h, at[own], source[own], tokens, similarity)):
             out.append((block.item_ids[item], matched, int(block.n_windows[item]), changed))
     return out
 
@@ -244,6 +274,8 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, simil
 
     Null or empty texts of either table match nothing. Repeated documents are each reported; repeated items likewise. With
     an empty table the result is empty. docs needs doc_id and text, benchmark item_id and text; other columns are not read.
+    Slots are judged over all matching windows of a document together, as OP4_SQL does: a document that holds an item and
+    a variant of it can be missing here, while remove_leaks drops it.
     """
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id bigint, n_matched bigint, n_windows bigint, n_changed bigint"
     found = None
@@ -272,7 +304,7 @@ def _finder(shared, similarity: float):
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs without the rows whose text holds a benchmark item; all columns pass through.
+    """docs without the rows whose text holds a benchmark item, in any one occurrence; all columns pass through.
 
     Rows are kept or dropped by a flag computed where they are read, so nothing is shuffled and rows with null or repeated
     ids are judged by their own text. Null texts stay.
@@ -294,7 +326,7 @@ def _keeper(shared, similarity: float, text_at: int):
                 for i, words in enumerate(texts):
                     if words:
                         ids, word_of = reader.encode(words)
-                        keep[start + i] = not find_in(words, ids, word_of, shared.value, similarity)
+                        keep[start + i] = not find_in(words, ids, word_of, shared.value, similarity, each=True)
             yield batch.filter(pa.array(keep))
         del reader
         give_back()

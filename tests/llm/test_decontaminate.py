@@ -41,6 +41,16 @@ def test_reparameterised_questions(spark):
     assert sorted(r.doc_id for r in D.remove_leaks(spark, docs, bench(spark, [(3, ITEM)])).collect()) == [2]
 
 
+def test_each_occurrence_is_judged(spark):
+    other = ITEM.replace("Alice", "Ida").replace("Bob", "Jan").replace("Carol", "Kim").replace("12", "31").replace("5", "8").replace("7", "2")
+    long = " ".join(f"word{i} here" for i in range(200))
+    texts = [f"{ITEM} {CHANGED}", f"{CHANGED} {other}", f"{other} {ITEM} {CHANGED}", f"{ITEM} {long} {CHANGED}", f"{CHANGED} {ITEM.replace('apples and', 'quite ripe red apples and')}", "nothing of that kind is here"]
+    docs = documents(spark, texts)
+    assert [r.doc_id for r in D.remove_leaks(spark, docs, bench(spark, [(3, ITEM)])).collect()] == [5]
+    torn = [" ".join(f"Then {a} met {b} and" for a, b in pairs) for pairs in ([("Bob", "Bob")] * 6, [("Bob", "Eve"), ("Dan", "Ida"), ("Kim", "Lea"), ("Mia", "Ned"), ("Ole", "Pia"), ("Quin", "Rob")])]
+    assert [r.doc_id for r in D.remove_leaks(spark, documents(spark, torn), bench(spark, [(1, "so " + torn[0])])).collect()] == [1]
+
+
 def test_slots_must_agree():
     item = [("<name>", "bob"), ("had", None), ("<num>", "3"), ("so", None), ("<name>", "bob")]
     other = lambda a, b: [("<name>", a), ("had", None), ("<num>", "4"), ("so", None), ("<name>", b)]
