@@ -15,6 +15,7 @@ import gzip
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 from hashlib import sha256
 from io import BytesIO
 
@@ -35,9 +36,9 @@ ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-URL = re.compile(r"[^\s\"'<>]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
+URL = re.compile(r"[^\s\"'<>]+")
 URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"""[^\s<>]*\\(?:u[0-9A-Fa-f]{4}|x[0-9A-Fa-f]{2})[^\s<>]*""")
+ESCAPE = re.compile(r"[^\s<>]+")
 ESCAPE_UNITS = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_CHARS)
 
@@ -97,25 +98,41 @@ def _pieces(layer: Layer, start: int, end: int, pattern: re.Pattern, decode) ->
     text, out, starts, ends, at = layer.text[start:end], [], [], [], 0
 
     def plain(a: int, b: int) -> None:
-        for i in range(a, b):
-            s, e = layer.origin(start + i, start + i + 1)
-            out.append(text[i]), starts.append(s), ends.append(e)
+        out.append(text[a:b])
+        if layer.starts is not None:
+            starts.extend(layer.starts[start + a : start + b]), ends.extend(layer.ends[start + a : start + b])
+        elif not layer.span:
+            starts.extend(range(start + a, start + b)), ends.extend(range(start + a + 1, start + b + 1))
 
     for m in pattern.finditer(text):
         decoded = decode(m[0])
-        if decoded is None:
-            continue
         plain(at, m.start())
         for char, a, b in decoded:
-            s, e = layer.origin(start + m.start() + a, start + m.start() + b)
-            out.append(char), starts.append(s), ends.append(e)
+            out.append(char)
+            if not layer.span:
+                s, e = layer.origin(start + m.start() + a, start + m.start() + b)
+                starts.append(s), ends.append(e)
         at = m.end()
     plain(at, len(text))
     made = "".join(out)
-    return Layer(made, starts, ends) if made and made != text else None
+    if not made or made == text:
+        return None
+    return Layer(made, span=layer.span) if layer.span else Layer(made, starts, ends)
+
 
+def _decoded(layer: Layer, around: re.Pattern, pattern: re.Pattern, decode) -> Iterator[Layer]:
+    """All matches of pattern decoded in one layer, as a key and its value may be blanks and quotes apart, and each stretch by itself."""
+    text = layer.text
+    if not pattern.search(text):
+        return
+    if whole := _pieces(layer, 0, len(text), pattern, decode):
+        yield whole
+    for m in around.finditer(text):
+        if m.end() - m.start() < len(text) and pattern.search(text, m.start(), m.end()) and (x := _pieces(layer, m.start(), m.end(), pattern, decode)):
+            yield x
 
-def _url(run: str) -> list[tuple[str, int, int]] | None:
+
+def _url(run: str) -> list[tuple[str, int, int]]:
     data, out, i = bytes.fromhex(run.replace("%", "")), [], 0
     while i < len(data):
         width = 1 if data[i] < 0x80 else 2 if data[i] < 0xE0 else 3 if data[i] < 0xF0 else 4
@@ -176,30 +193,31 @@ def _base64(layer: Layer, start: int, run: str) -> list[Layer]:
     return found
 
 
-def layers_of(layer: Layer) -> list[Layer]:
-    text, found = layer.text, []
+def layers_of(layer: Layer) -> Iterator[Layer]:
+    text = layer.text
     if "%" in text:
-        found += [x for m in URL.finditer(text) if (x := _pieces(layer, m.start(), m.end(), URL_BYTES, _url))]
+        yield from _decoded(layer, URL, URL_BYTES, _url)
     if "\\" in text:
-        found += [x for m in ESCAPE.finditer(text) if (x := _pieces(layer, m.start(), m.end(), ESCAPE_UNITS, _units))]
+        yield from _decoded(layer, ESCAPE, ESCAPE_UNITS, _units)
     for m in BASE64.finditer(text):
-        found += _base64(layer, m.start(), m[0])
-    return found
+        yield from _base64(layer, m.start(), m[0])
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """The plain secrets, and all secrets with those of decoded layers, each sorted by start, then kind."""
     by = lambda x: (x[0], ORDER[x[2]], x[1])
     base = sorted(base_matches(text), key=by)
-    spans, work, seen = set(base), [Layer(text)], set()
+    spans, work, seen = set(base), [layers_of(Layer(text))], set()
     while work:
-        for layer in layers_of(work.pop()):
-            key = (layer.origin(0, len(layer.text)), sha256(layer.text.encode(errors="replace")).digest())
-            if key in seen:
-                continue
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        key = (layer.origin(0, len(layer.text)), sha256(layer.text.encode(errors="replace")).digest())
+        if key not in seen:
             seen.add(key)
             spans.update((*layer.origin(a, b), kind) for a, b, kind in base_matches(layer.text))
-            work.append(layer)
+            work.append(layers_of(layer))
     return base, sorted(spans, key=by)
 
 

@@ -71,6 +71,12 @@ def test_spans_map_to_the_original():
     assert 3 <= a <= 3 + 4 * 4 // 3 + 1 and b <= 3 + len(inner)
 
 
+@pytest.mark.parametrize("text", ['{"password": "\\u0068unter2hunter2"}', "password = %68unter2hunter2", '"password":"%68unter2hunter2"', "%70assword = hunter2hunter2", r"\x70assword: '%68unter2hunter2'", 'token: "api_key":"\\u0068unter2hunter2"'])
+def test_key_and_value_apart(text):
+    whole = f"é {text} z"
+    assert any(k == "assign" and whole[b - 4 : b] == "ter2" for _, b, k in S.scan(whole)[1])
+
+
 def test_cycles_end():
     text = "aGVsbG8gd29ybGQgaGVsbG8gd29ybGQ=" * 3 + "%25%32%35%2525"
     assert S.scan(text)[1] == []
