@@ -17,7 +17,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from hashlib import sha256
-from io import BytesIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +25,8 @@ from pyspark.sql import functions as F
 from larkspire.llm.common import map_chunks
 
 KINDS = ("assign", "access", "hex")
+#: Bytes read from a stream at once.
+READ_BYTES = 1 << 16
 ORDER = {k: i for i, k in enumerate(KINDS)}
 #: No decompressed layer grows beyond this many bytes: a guard against decompression bombs, far above any secret's carrier.
 LAYER_BYTES = 32 << 20
@@ -41,6 +42,8 @@ URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"[^\s<>]+")
 ESCAPE_UNITS = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_CHARS)
+#: What bytes must hold, read as Latin-1, to have a secret or an encoded stretch in them.
+CARRIER = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%%[0-9A-Fa-f]{2}|\\[ux]|[A-Za-z0-9+/_-]{%d}" % BASE64_CHARS)
 
 
 def base_matches(text: str) -> list[tuple[int, int, str]]:
@@ -71,26 +74,118 @@ class Layer:
         return self.starts[start], self.ends[end - 1]
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """The content of compressed data, or None."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            with gzip.GzipFile(fileobj=BytesIO(data)) as f:
-                return f.read(LAYER_BYTES)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, LAYER_BYTES)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, LAYER_BYTES)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
+class _Source:
+    """Pieces of bytes as a file to read from."""
+
+    def __init__(self, head: bytes, more: Iterator[bytes]):
+        self.rest, self.more = memoryview(head), more
+
+    def read(self, n: int = READ_BYTES) -> bytes:
+        found = b""
+        while len(found) < n:
+            if not self.rest and (piece := next(self.more, None)) is None:
+                break
+            if not self.rest:
+                self.rest = memoryview(piece)
+            take = n - len(found)
+            found, self.rest = found + self.rest[:take], self.rest[take:]
+        return found
+
+
+def _zlib_pieces(source: _Source) -> Iterator[bytes]:
+    data, stream = source.read(), zlib.decompressobj()
+    while data:
+        piece = stream.decompress(data, READ_BYTES)
+        if piece:
+            yield piece
+        data = stream.unconsumed_tail or (stream.unused_data if stream.eof else b"")
+        if stream.eof:
+            data, stream = data or source.read(), zlib.decompressobj()
+            if len(data) < 2:
+                data += source.read()
+            if not _is_zlib(data):
+                return
+        data = data or source.read()
+        if not data:
+            yield from filter(None, (stream.flush(),))
+            raise EOFError
+
+
+def _is_zlib(data: bytes) -> bool:
+    return len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0
+
+
+class _Inflated:
+    """The content of compressed data, all its streams, in pieces up to where it ends or is damaged."""
+
+    def __init__(self, head: bytes, source: _Source):
+        self.damaged, self.pieces = False, None
+        if head[:2] == b"\x1f\x8b":
+            self.pieces = self.read(gzip.GzipFile(fileobj=source))
+        elif head[:3] == b"BZh":
+            self.pieces = self.read(bz2.BZ2File(source))
+        elif head[:6] == b"\xfd7zXZ\x00":
+            self.pieces = self.read(lzma.LZMAFile(source))
+        elif head[:4] == b"\x28\xb5\x2f\xfd":
             import zstandard
 
-            with zstandard.ZstdDecompressor().stream_reader(data) as f:
-                return f.read(LAYER_BYTES)
-        if len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, LAYER_BYTES)
-    except Exception:  # damaged data of any of these formats is no layer
-        return None
-    return None
+            self.pieces = self.read(zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True))
+        elif _is_zlib(head):
+            self.pieces = _zlib_pieces(source)
+
+    @staticmethod
+    def read(file) -> Iterator[bytes]:
+        while piece := file.read1(READ_BYTES):
+            yield piece
+
+    def __iter__(self) -> _Inflated:
+        return self
+
+    def __next__(self) -> bytes:
+        try:
+            return next(self.pieces)
+        except StopIteration:
+            raise
+        except Exception:  # damaged data of any of these formats ends there
+            self.damaged = True
+            raise StopIteration from None
+
+
+def _take(pieces: Iterator[bytes]) -> bytes:
+    """The next LAYER_BYTES, or what there is."""
+    found, size = [], 0
+    while size < LAYER_BYTES and (piece := next(pieces, None)) is not None:
+        found.append(piece)
+        size += len(piece)
+    return b"".join(found)
+
+
+def _unwrapped(head: bytes, more: Iterator[bytes], seen: set[bytes]) -> Iterator[str]:
+    """The texts inside compressed data, unwrapped until nothing is compressed; head is its start, more what follows.
+
+    Nothing comes of data without a known format. Damaged data gives what comes before the damage, and itself.
+    """
+    key = sha256(head).digest()
+    source = _Source(head, more)
+    inflated = _Inflated(head, source)
+    if inflated.pieces is None or key in seen:
+        return
+    seen.add(key)
+    first = _take(inflated)
+    if first:
+        inner = _unwrapped(first, inflated, seen)
+        text = next(inner, None)
+        if text is None:
+            yield from _texts(first, inflated)
+        else:
+            yield text
+            yield from inner
+    if inflated.damaged or not first:
+        yield from _texts(head, more)
+
+
+def _texts(head: bytes, more: Iterator[bytes]) -> Iterator[str]:
+    yield head[:LAYER_BYTES].decode(errors="replace")
 
 
 def _pieces(layer: Layer, start: int, end: int, pattern: re.Pattern, decode) -> Layer | None:
@@ -157,40 +252,38 @@ def _units(run: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _base64(layer: Layer, start: int, run: str) -> list[Layer]:
-    """Layers of one stretch of base64 letters, or else of its parts between path separators."""
+def _base64(layer: Layer, start: int, run: str) -> Iterator[Layer]:
+    """Layers of one stretch of base64 letters, and unless they are text without errors, of its parts between path separators."""
     body = run.rstrip("=")
-    found = []
+    clean = False
     if len(body) % 4 != 1:
         try:
             data = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
         except binascii.Error:
             data = b""
-        inner = _inflate(data)
-        if inner is not None:
-            try:
-                found.append(Layer(inner.decode(), span=layer.origin(start, start + len(run))))
-            except UnicodeDecodeError:
-                pass
-        else:
+        inflated = False
+        for text in _unwrapped(data, iter(()), set()):
+            inflated = True
+            yield Layer(text, span=layer.origin(start, start + len(run)))
+        if not inflated:
             try:
                 text = data.decode()
+                clean = bool(text)
             except UnicodeDecodeError:
-                text = ""
+                text = data.decode("latin-1") if CARRIER.search(data) else ""
             if text:
                 starts, ends, at = [], [], 0
                 for char in text:
-                    n = len(char.encode())
+                    n = len(char.encode()) if clean else 1
                     s, _ = layer.origin(start + at * 4 // 3, start + at * 4 // 3 + 1)
                     last = min((at + n) * 8 // 6 + ((at + n) * 8 % 6 > 0), len(body))
                     starts.append(s), ends.append(layer.origin(start + last - 1, start + last)[1])
                     at += n
-                found.append(Layer(text, starts, ends))
-    if not found and re.search("[/_-]", body):
+                yield Layer(text, starts, ends)
+    if not clean and re.search("[/_-]", body):
         for m in re.finditer(r"[A-Za-z0-9+]{%d,}" % BASE64_CHARS, body):
             if m[0] != body:
-                found += _base64(layer, start + m.start(), m[0])
-    return found
+                yield from _base64(layer, start + m.start(), m[0])
 
 
 def layers_of(layer: Layer) -> Iterator[Layer]:

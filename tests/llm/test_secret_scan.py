@@ -77,6 +77,27 @@ def test_key_and_value_apart(text):
     assert any(k == "assign" and whole[b - 4 : b] == "ter2" for _, b, k in S.scan(whole)[1])
 
 
+COMPRESS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress]
+
+
+@pytest.mark.parametrize("outer", COMPRESS)
+@pytest.mark.parametrize("inner", COMPRESS)
+def test_compressed_layers_unwrap_to_a_fixpoint(outer, inner):
+    secret = f"caf\xe9 {SECRET}".encode("latin-1")
+    found = lambda data: [k for _, _, k in S.scan(f"a {b64(data)} b")[1]] == ["assign"]
+    assert found(outer(inner(secret))) and found(outer(outer(inner(SECRET.encode()))))
+    assert found(outer(b"first") + outer(inner(secret)[:0]) + outer(secret))
+    assert found(outer(secret) + b"trailing bytes")
+    assert found(secret) and found(b"\xff\xfe/" + SECRET.encode())
+
+
+def test_damage_keeps_what_is_before_it():
+    random.seed(2)
+    data = zlib.compress((SECRET + " ").encode() + random.randbytes(5000).hex().replace("0", "g").encode())
+    assert ("assign" in [k for _, _, k in S.scan(b64(data[:-900]))[1]])
+    assert S.scan(b64(b"x^ " + SECRET.encode()))[1]
+
+
 def test_cycles_end():
     text = "aGVsbG8gd29ybGQgaGVsbG8gd29ybGQ=" * 3 + "%25%32%35%2525"
     assert S.scan(text)[1] == []
