@@ -1,7 +1,7 @@
 """Secret scan with a recursive decoding worklist.
 
-A text is scanned for secrets; then every encoded stretch in it (URL escapes, Unicode escapes, base64, and compressed data
-inside base64) is decoded into a layer, which is scanned and searched for encoded stretches in turn until nothing new
+A text is scanned for secrets; then every encoded stretch in it (URL escapes, Unicode escapes, base64, also wrapped into lines,
+and compressed data inside base64) is decoded into a layer, which is scanned and searched for encoded stretches in turn until nothing new
 appears. A layer that was seen before at the same place is not entered again, so cycles end. Every layer keeps, for each of
 its characters, the span of the original text that it came from, so a secret found in it is reported at that span.
 """
@@ -42,6 +42,9 @@ URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"[^\s<>]+")
 ESCAPE_UNITS = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_CHARS)
+#: Base64 wrapped into lines; the padding may stand on a line of its own.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:\r?\n[A-Za-z0-9+/_-]+)+(?:(?:\r?\n)?={1,2})?" % BASE64_CHARS)
+LINE = re.compile(r"[^\r\n]+")
 #: What bytes must hold, read as Latin-1, to have a secret or an encoded stretch in them.
 CARRIER = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%%[0-9A-Fa-f]{2}|\\[ux]|[A-Za-z0-9+/_-]{%d}" % BASE64_CHARS)
 
@@ -286,6 +289,37 @@ def _base64(layer: Layer, start: int, run: str) -> Iterator[Layer]:
                 yield from _base64(layer, start + m.start(), m[0])
 
 
+def _blocks(lines: list[tuple[int, int]], text: str) -> Iterator[list[tuple[int, int]]]:
+    """Runs of lines of one width, alone and with the shorter line after them, which may also be a word of what follows."""
+    i = 0
+    while i < len(lines):
+        width, j = lines[i][1] - lines[i][0], i + 1
+        while j < len(lines) and lines[j][1] - lines[j][0] == width:
+            j += 1
+        if width >= BASE64_CHARS:
+            if j - i > 1:
+                yield lines[i:j]
+            last = j
+            if last < len(lines) and len(text[slice(*lines[last])].rstrip("=")) <= width:
+                last += 1
+                if last < len(lines) and text[lines[last][0]] == "=":
+                    last += 1
+            if last > j:
+                yield lines[i:last]
+        i = j
+
+
+def _joined(layer: Layer, lines: list[tuple[int, int]]) -> Layer:
+    """The lines without the breaks between them."""
+    made = "".join(layer.text[a:b] for a, b in lines)
+    if layer.span:
+        return Layer(made, span=layer.span)
+    places = [x for a, b in lines for x in range(a, b)]
+    if layer.starts is None:
+        return Layer(made, places, [x + 1 for x in places])
+    return Layer(made, [layer.starts[x] for x in places], [layer.ends[x] for x in places])
+
+
 def layers_of(layer: Layer) -> Iterator[Layer]:
     text = layer.text
     if "%" in text:
@@ -294,6 +328,10 @@ def layers_of(layer: Layer) -> Iterator[Layer]:
         yield from _decoded(layer, ESCAPE, ESCAPE_UNITS, _units)
     for m in BASE64.finditer(text):
         yield from _base64(layer, m.start(), m[0])
+    for m in WRAPPED.finditer(text):
+        for lines in _blocks([x.span() for x in LINE.finditer(text, m.start(), m.end())], text):
+            joined = _joined(layer, lines)
+            yield from _base64(joined, 0, joined.text)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:

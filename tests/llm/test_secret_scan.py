@@ -91,6 +91,22 @@ def test_compressed_layers_unwrap_to_a_fixpoint(outer, inner):
     assert found(secret) and found(b"\xff\xfe/" + SECRET.encode())
 
 
+@pytest.mark.parametrize("width", [19, 40, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_base64(width, end):
+    random.seed(width)
+    noise = " ".join(str(random.random()) for _ in range(40))
+    for lead in range(90):
+        for data in (f"{noise[:lead]} {SECRET}".encode(), gzip.compress(f"{noise} {SECRET} {noise[:lead]}".encode())):
+            text = b64(data)
+            lines = end.join(text[i : i + width] for i in range(0, len(text), width))
+            whole = f"é data{end}{lines}{end}more words"
+            at = len(f"é data{end}")
+            assert any(k == "assign" and at <= a < b <= at + len(lines) for a, b, k in S.scan(whole)[1]), (lead, whole)
+            wrapped = "".join(f"%{b:02x}" for b in whole.encode())
+            assert [k for _, _, k in S.scan(wrapped)[1]].count("assign") >= 1
+
+
 def test_damage_keeps_what_is_before_it():
     random.seed(2)
     data = zlib.compress((SECRET + " ").encode() + random.randbytes(5000).hex().replace("0", "g").encode())
