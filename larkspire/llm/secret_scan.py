@@ -28,7 +28,8 @@ KINDS = ("assign", "access", "hex")
 #: Bytes read from a stream at once.
 READ_BYTES = 1 << 16
 ORDER = {k: i for i, k in enumerate(KINDS)}
-#: No decompressed layer grows beyond this many bytes: a guard against decompression bombs, far above any secret's carrier.
+#: Decompressed data is scanned in pieces of so many bytes, each half of which the next piece has, too; this bounds memory, not
+#: what is scanned. Only an encoded stretch in decompressed data that is longer than half of it may be cut.
 LAYER_BYTES = 32 << 20
 #: The shortest secret has 14 characters, which need 19 characters of base64.
 BASE64_CHARS = 19
@@ -84,15 +85,16 @@ class _Source:
         self.rest, self.more = memoryview(head), more
 
     def read(self, n: int = READ_BYTES) -> bytes:
-        found = b""
+        found = bytearray()
         while len(found) < n:
             if not self.rest and (piece := next(self.more, None)) is None:
                 break
             if not self.rest:
                 self.rest = memoryview(piece)
             take = n - len(found)
-            found, self.rest = found + self.rest[:take], self.rest[take:]
-        return found
+            found += self.rest[:take]
+            self.rest = self.rest[take:]
+        return bytes(found)
 
 
 def _zlib_pieces(source: _Source) -> Iterator[bytes]:
@@ -163,32 +165,36 @@ def _take(pieces: Iterator[bytes]) -> bytes:
     return b"".join(found)
 
 
-def _unwrapped(head: bytes, more: Iterator[bytes], seen: set[bytes]) -> Iterator[str]:
+def _unwrapped(head: bytes, more: Iterator[bytes], damage: list[bool], seen: set[bytes]) -> Iterator[str]:
     """The texts inside compressed data, unwrapped until nothing is compressed; head is its start, more what follows.
 
-    Nothing comes of data without a known format. Damaged data gives what comes before the damage, and itself.
+    Nothing comes of data without a known format. Damaged data gives what comes before the damage, and damage is noted.
     """
     key = sha256(head).digest()
-    source = _Source(head, more)
-    inflated = _Inflated(head, source)
+    inflated = _Inflated(head, _Source(head, more))
     if inflated.pieces is None or key in seen:
         return
     seen.add(key)
     first = _take(inflated)
     if first:
-        inner = _unwrapped(first, inflated, seen)
-        text = next(inner, None)
-        if text is None:
-            yield from _texts(first, inflated)
-        else:
+        deeper, inner = False, []
+        for text in _unwrapped(first, inflated, inner, seen):
+            deeper = True
             yield text
-            yield from inner
+        if not deeper or inner:
+            yield from _texts(first, inflated)
     if inflated.damaged or not first:
-        yield from _texts(head, more)
+        damage.append(True)
 
 
 def _texts(head: bytes, more: Iterator[bytes]) -> Iterator[str]:
-    yield head[:LAYER_BYTES].decode(errors="replace")
+    """The bytes as text in pieces that overlap by half; characters cut at a piece's ends are whole in its neighbour."""
+    source = _Source(head, more)
+    data = new = source.read(LAYER_BYTES)
+    while new:
+        yield data.decode(errors="replace")
+        new = source.read(LAYER_BYTES // 2)
+        data = data[len(data) - LAYER_BYTES // 2 :] + new if new else b""
 
 
 def _pieces(layer: Layer, start: int, end: int, pattern: re.Pattern, decode) -> Layer | None:
@@ -264,17 +270,20 @@ def _base64(layer: Layer, start: int, run: str) -> Iterator[Layer]:
             data = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
         except binascii.Error:
             data = b""
-        inflated = False
-        for text in _unwrapped(data, iter(()), set()):
-            inflated = True
+        damage: list[bool] = []
+        for text in _unwrapped(data, iter(()), damage, set()):
+            clean = True
             yield Layer(text, span=layer.origin(start, start + len(run)))
-        if not inflated:
+        if not clean or damage:
+            clean = False
             try:
                 text = data.decode()
                 clean = bool(text)
             except UnicodeDecodeError:
                 text = data.decode("latin-1") if CARRIER.search(data) else ""
-            if text:
+            if text and layer.span:
+                yield Layer(text, span=layer.span)
+            elif text:
                 starts, ends, at = [], [], 0
                 for char in text:
                     n = len(char.encode()) if clean else 1
