@@ -127,7 +127,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
-    """Fit on docs (doc_id, text, lang), all of which are training rows."""
+    """Fit on docs (doc_id, text, lang), all of which are training rows. Every lang is learned, for 0.26 MB of weights each."""
     docs = docs.where(F.col("lang").isNotNull())
     frequency, n = document_frequencies(docs.select("text"))
     idf = np.log((1 + n) / (1 + frequency)) + 1
@@ -142,6 +142,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageM
     labels = np.array([number[r["lang"]] for r in rows])
     made = [features(r["text"], idf) for r in rows]
     apart = np.arange(len(rows)) % 5 == 4
+    apart &= np.isin(labels, labels[~apart])  # a language with all its rows there would not be learned
     weights = fit_ftrl([m for m, a in zip(made, apart) if not a], labels[~apart], len(languages))
     scores = np.array([x @ weights[at] for (at, x), a in zip(made, apart) if a]).reshape(-1, len(languages))
     return LanguageModel(languages, idf, weights, fit_temperature(scores, labels[apart]))
@@ -153,7 +154,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     A null text, or one without a letter, is `und` with score 0, as is everything if there was nothing to learn from.
     Equal texts get equal results. An empty table gives an empty result. Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * (languages + 1) doubles, languages bounded
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * (languages + 1) doubles
 
     def run(t: pa.RecordBatch) -> pa.RecordBatch:
         rows = [shared.value.predict(x) for x in t.column(1).to_pylist()]

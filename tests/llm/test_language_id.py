@@ -80,3 +80,19 @@ def test_sample_is_bounded_and_stratified(spark):
     chosen, counts = stratified(rows, "label", "id", 500)
     got = {r["label"]: r["n"] for r in chosen.groupBy("label").count().withColumnRenamed("count", "n").collect()}
     assert got["rare"] == 200 == counts["rare"] and 400 < got["often"] < 600
+
+
+def test_every_language_is_learned(spark):
+    word = lambda i: "".join(chr(0x4E00 + 5 * i + k) for k in range(5))
+    rows = [(210 * k + i, f"{word(i)} {word(i)}", f"l{i:03}") for i in range(210) for k in range(9 if i == 209 else 10)]
+    model = L.train(table(spark, rows))
+    assert model.languages == [f"l{i:03}" for i in range(210)]
+    wrong = {i for i in range(210) if model.predict(f"{word(i)} {word(i)}")[0] != f"l{i:03}"}
+    assert 209 not in wrong and len(wrong) < 5, wrong
+
+
+def test_sample_of_many_classes_is_bounded(spark):
+    rows = spark.range(30_000).selectExpr("id", "concat('c', id % 30) AS label")
+    chosen, counts = stratified(rows, "label", "id", 200, classes=10)
+    got = {r["label"]: r["n"] for r in chosen.groupBy("label").count().withColumnRenamed("count", "n").collect()}
+    assert len(counts) == len(got) == 30 and 1500 < sum(got.values()) < 2500
