@@ -276,6 +276,9 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, simil
     an empty table the result is empty. docs needs doc_id and text, benchmark item_id and text; other columns are not read.
     Slots are judged over all matching windows of a document together, as OP4_SQL does: a document that holds an item and
     a variant of it can be missing here, while remove_leaks drops it.
+
+    An item of under five template tokens, also after canonicalising, is one short window and is found only in a document that
+    is nothing else: both here, as OP4_SQL states, and in remove_leaks. It is not looked for inside longer texts.
     """
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id bigint, n_matched bigint, n_windows bigint, n_changed bigint"
     found = None

@@ -84,3 +84,9 @@ def test_blocks_and_edges(spark, monkeypatch):
     assert D.find_leaks(spark, documents(spark, []), bench(spark, items)).count() == 0
     assert D.find_leaks(spark, docs, bench(spark, [])).count() == 0
     assert D.remove_leaks(spark, docs, bench(spark, [])).count() == docs.count()
+
+
+def test_short_items_are_found_only_as_whole_documents(spark):
+    docs = documents(spark, ["Quick brown foxes", "They say quick brown foxes run over the hills"])
+    assert rows(D.find_leaks(spark, docs, bench(spark, [(1, "quick brown foxes")])), "doc_id") == [(0,)]
+    assert rows(D.remove_leaks(spark, docs, bench(spark, [(1, "quick brown foxes")])), "doc_id") == [(1,)]
