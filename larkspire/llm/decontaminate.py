@@ -1,38 +1,45 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words are turned into templates: numbers, names (capitalised words inside a sentence) and units become typed placeholders,
-and other words are lower-cased without their punctuation. Five-word windows of benchmark templates are hashed, the windows
-of every document are looked up in that hash table, and an item counts as leaked in a document if at least 75 of 100 of its
-windows occur there. Then the slots are checked: the windows that match must agree on what each placeholder of the item
-stands for, so a question whose numbers or names were exchanged throughout is found, while text that only shares the shape,
-with one slot filled in conflicting ways, is not.
-
-A text may hold an item several times, filled differently each time. remove_leaks therefore judges each occurrence by itself
-where all windows together disagree; find_leaks judges all windows together only, as the SQL of op4_decontaminate states.
-
-The table of benchmark windows is broadcast in blocks of at most BLOCK_WINDOWS windows, each a pass over the documents, so
-what is broadcast has a fixed bound however large the benchmark is.
+Words are turned into templates: numbers, names (capitalised words inside a sentence) and units beside a number become typed
+placeholders, and other words are lower-cased without their punctuation. Five-token windows of benchmark templates and of
+documents are hash-joined, and an item counts as leaked in a document if at least 75 of 100 of its windows occur there. Then
+the slots are checked: the windows that match must agree on what each placeholder of the item stands for, so a question whose
+numbers or names were exchanged throughout is found, while text that only shares the shape, with one slot filled in
+conflicting ways, is not. They agree if all matching windows of the text together do, or those of one occurrence of the item,
+as a text may hold an item several times, filled differently each time.
+
+An item of under five template tokens says too little as a template. It is looked for as it stands: its words in sequence,
+without regard to case and punctuation.
+
+The join is one of hashes on both sides, in three steps that no frequent window makes large:
+
+1. Documents send the windows that a Bloom filter of all benchmark windows lets through. The filter has FILTER_BITS bits at most,
+   however large the benchmark is, and loses nothing.
+2. Of each item the rarest windows, just so many that 75 of 100 cannot be reached without any of them, are joined with
+   those of the documents: this gives the pairs of a document and an item that can match at all.
+3. For these pairs alone the item's windows meet the document's, and each pair is judged by itself.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import give_back, map_chunks
+from larkspire.llm.common import cut, map_arrow, map_chunks
 
 WINDOW = 5
 SIMILARITY = 0.75
-#: Windows in one broadcast block: about 60 MB in a worker.
-BLOCK_WINDOWS = 1 << 20
-MEMO_WORDS = 600_000
+#: Bits of the filter that is broadcast, at most (16 MB), and for each benchmark window, at least.
+FILTER_BITS, BITS_PER_WINDOW = 1 << 27, 32
+#: A piece of the filter, as it is put together.
+PIECE_BITS = 1 << 16
+MEMO_WORDS = 200_000
 #: Units of measure that are canonicalised, lower case, after punctuation is taken off.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec min h hr hrs ms hz khz mhz ghz w kw v j kj cal kcal pa kpa usd eur gbp km/h mph kmh percent % $ € £ ° °c °f".split())
 NUMBER = re.compile(r"[-+]?(?:\d+(?:[.,:/]\d+)*)(?:st|nd|rd|th|%)?")
@@ -43,15 +50,16 @@ CLOSERS = "\"')]}»”’"
 ENDS = frozenset((*STOPS, *CLOSERS))
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 KIND = {NUM: 1, NAME: 2, UNIT: 3}
-#: The id of every word that no benchmark item has; windows with it match nothing.
-OTHER = 5
 
 
-def template(word: str, opens: bool) -> list[tuple[str, str | None]]:
-    """The template tokens of a word, each with the value that a placeholder hides. opens: it starts a sentence."""
+def template(word: str, opens: bool, beside: bool = True) -> list[tuple[str, str | None]]:
+    """The template tokens of a word, each with the value that a placeholder hides.
+
+    opens: it starts a sentence. beside: the word before or after it is a number.
+    """
     core = TRIM.sub("", word)
     low = core.lower()
-    if low in UNITS or word.lower() in UNITS:
+    if beside and (low in UNITS or word.lower() in UNITS):
         return [(UNIT, low or word)]
     if not core:
         return []
@@ -68,21 +76,33 @@ def ends_sentence(word: str) -> bool:
     return word.rstrip(CLOSERS).endswith(STOPS)
 
 
-class Canonicaliser:
-    """Texts to rows of 64-bit token ids; placeholders have the ids in KIND. Words are remembered in a bounded table.
+def is_number(word: str) -> bool:
+    return any(map(str.isdigit, word)) and NUMBER.fullmatch(TRIM.sub("", word).lower()) is not None
 
-    Only words of vocabulary, those of the benchmark, need ids of their own.
-    """
 
-    def __init__(self, vocabulary: frozenset[str]):
-        self.vocabulary = vocabulary
+def at_place(words: list[str], i: int) -> list[tuple[str, str | None]]:
+    """The template tokens of words[i] where it stands."""
+    beside = (i > 0 and is_number(words[i - 1])) or (i + 1 < len(words) and is_number(words[i + 1]))
+    return template(words[i], i == 0 or ends_sentence(words[i - 1]), beside)
+
+
+def canonical(text: str) -> list[tuple[str, str | None]]:
+    words = text.split()
+    return [t for i in range(len(words)) for t in at_place(words, i)]
+
+
+class Canonicaliser:
+    """Texts to rows of 64-bit token ids; placeholders have the ids in KIND. Words are remembered in a bounded table."""
+
+    def __init__(self):
         self.clear()
 
     def clear(self) -> None:
-        #: word -> number; by number and by whether a sentence opens there: first and second token, 0 for none.
+        #: word -> number; by number, by whether a number is beside it and whether a sentence opens there: first and
+        #: second token, 0 for none, as template tokens and as the words themselves.
         self.memo: dict[str, int] = {}
-        self.tokens = np.zeros((1024, 2, 2), np.uint64)
-        self.stops = np.zeros(1024, bool)
+        self.tokens = np.zeros((1024, 2, 2, 2, 2), np.uint64)
+        self.stops, self.numeric = np.zeros(1024, bool), np.zeros(1024, bool)
 
     @staticmethod
     def ident(token: str) -> int:
@@ -94,179 +114,263 @@ class Canonicaliser:
         new = [w for w in words if w not in self.memo]
         first = len(self.memo)
         while first + len(new) > len(self.tokens):
-            self.tokens = np.concatenate([self.tokens, np.zeros_like(self.tokens)])
-            self.stops = np.concatenate([self.stops, np.zeros_like(self.stops)])
+            self.tokens, self.stops, self.numeric = (np.concatenate([x, np.zeros_like(x)]) for x in (self.tokens, self.stops, self.numeric))
         self.memo.update(zip(new, range(first, first + len(new))))
-        vocabulary, rows = self.vocabulary, []
+        rows, ident, name = [], self.ident, KIND[NAME]
         for w in new:
             core = w.strip(".,;:!?")
             if core.isalpha() and (low := core.lower()) not in UNITS:  # the usual case of template(), made quick
-                own = self.ident(low) if low in vocabulary else OTHER
-                rows.append((KIND[NAME] if core[0].isupper() else own, 0, own, 0))
+                own = ident(low)
+                kind = name if core[0].isupper() else own
+                rows.append((kind, 0, own, 0, own, 0, own, 0) * 2)
             else:
-                row = [0, 0, 0, 0]
-                for opens in (0, 1):
-                    for k, (token, _) in enumerate(template(w, bool(opens))):
-                        row[2 * opens + k] = self.ident(token) if token in KIND or token in vocabulary else OTHER
+                row = []
+                for beside in (False, True):
+                    made = [template(w, opens, beside) for opens in (False, True)]
+                    for literal in (False, True):
+                        for parts in made:
+                            ids = [ident(v if literal and v is not None else t) for t, v in parts]
+                            row += (ids + [0, 0])[:2]
                 rows.append(tuple(row))
         if new:
-            self.tokens[first : first + len(new)] = np.array(rows, np.uint64).reshape(-1, 2, 2)
+            # (beside, literal, opens, token) in rows
+            self.tokens[first : first + len(new)] = np.array(rows, np.uint64).reshape(-1, 2, 2, 2, 2)
             self.stops[first : first + len(new)] = [w[-1] in ENDS and ends_sentence(w) for w in new]
+            self.numeric[first : first + len(new)] = [is_number(w) for w in new]
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids, and for each the number of its word. add() was called with the words."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Template ids, ids of the words themselves, and for each the number of its word. add() was called with the words."""
         numbers = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        opens = np.ones(len(words), np.int64)
+        opens, beside = np.ones(len(words), np.int64), np.zeros(len(words), np.int64)
         opens[1:] = self.stops[numbers[:-1]]
-        pairs = self.tokens[numbers, opens]
+        numeric = self.numeric[numbers]
+        beside[1:] |= numeric[:-1]
+        beside[:-1] |= numeric[1:]
+        pairs, literal = (self.tokens[numbers, beside, k, opens] for k in (0, 1))
         there = pairs != 0
-        return pairs[there], np.repeat(np.arange(len(words)), there.sum(1))
+        return pairs[there], literal[there], np.repeat(np.arange(len(words)), there.sum(1))
 
 
-def windows(ids: np.ndarray) -> np.ndarray:
-    """Hashes of all five-token windows; a shorter row is one window."""
-    if not len(ids):
+def windows(ids: np.ndarray, size: int = WINDOW) -> np.ndarray:
+    """Hashes of all windows of so many tokens; those of different sizes don't meet."""
+    n = len(ids) - size + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    n, h = max(len(ids) - WINDOW + 1, 1), None
-    for k in range(min(WINDOW, len(ids))):
-        part = ids[k : k + n]
-        h = part.copy() if h is None else (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + part
+    h = ids[:n] * np.uint64(2 * size + 1)
+    for k in range(1, size):
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + ids[k : k + n]
     return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-@dataclass
-class Block:
-    """A block of benchmark items."""
+def values_of(words: list[str], word_of: np.ndarray, start: int, size: int) -> list[str | None]:
+    """What the placeholders hide in the window at start, null for other tokens."""
+    out = []
+    for k in range(start, start + size):
+        parts = at_place(words, int(word_of[k]))
+        out.append(parts[1 if len(parts) > 1 and k and word_of[k - 1] == word_of[k] else 0][1])
+    return out
+
 
-    hashes: np.ndarray  # sorted distinct windows
-    starts: np.ndarray  # places of hash k: items[starts[k]:starts[k + 1]], at[...]
-    items: np.ndarray
-    at: np.ndarray  # the window's number in its item
-    item_ids: list[int]
-    tokens: list[list[tuple[str, str | None]]]  # of each item
-    n_windows: np.ndarray  # distinct windows of each item
-    vocabulary: frozenset[str]
+ITEMS = "ik bigint, item_id bigint, n_tokens int, place int, w bigint, own array<string>"
 
 
-def canonical(text: str) -> list[tuple[str, str | None]]:
-    out, opens = [], True
-    for w in text.split():
-        out += template(w, opens)
-        opens = ends_sentence(w)
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """The windows of the benchmark (item_id, text), rows of ITEMS: own has kind:value for each placeholder.
+
+    ik tells rows apart, so repeated items are items of their own. Nulls and texts without words have no windows.
+    """
+    rows = benchmark.select(F.monotonically_increasing_id().alias("ik"), F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+    def run(t: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for ik, item, text in zip(*(t.column(k).to_pylist() for k in range(3))):
+            tokens = canonical(text)
+            short = len(tokens) < WINDOW
+            size = min(len(tokens), WINDOW)
+            ids = np.array([Canonicaliser.ident(v if short and v is not None else x) for x, v in tokens], np.uint64)
+            own = [None if v is None else f"{x}:{v}" for x, v in tokens]
+            out += [(ik, item, len(tokens), i, w, own[i : i + size]) for i, w in enumerate(windows(ids, size).view(np.int64).tolist() if size else ())]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()))
+        return pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["ik", "item_id", "n_tokens", "place", "w", "own"])
+
+    return map_chunks(rows.where("item_id IS NOT NULL AND text IS NOT NULL"), run, ITEMS)
+
+
+def probes(w: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
+    """Three places in the filter for each window; bits is a power of two."""
+    w, mask = w.view(np.uint64), np.uint64(bits - 1)
+    return tuple((x & mask).astype(np.int64) for x in (w, w >> np.uint64(23), (w * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(36)))
+
+
+def window_filter(items: DataFrame, n: int) -> np.ndarray:
+    """The bits, as bytes, of a Bloom filter of the n windows of items: put together in pieces by tasks, FILTER_BITS at most."""
+    bits = PIECE_BITS
+    while bits < min(FILTER_BITS, BITS_PER_WINDOW * n):
+        bits *= 2
+
+    def places(t: pa.RecordBatch) -> pa.RecordBatch:
+        found = np.unique(np.concatenate(probes(t.column(0).to_numpy(), bits)))
+        return pa.record_batch([pa.array(found // PIECE_BITS), pa.array(found % PIECE_BITS)], names=["piece", "bit"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, np.ndarray] = {}
+        for batch in batches:
+            piece, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for p in np.unique(piece).tolist():
+                pieces.setdefault(p, np.zeros(PIECE_BITS, bool))[bit[piece == p]] = True
+        yield pa.record_batch([pa.array(list(pieces), pa.int64()), pa.array([np.packbits(x).tobytes() for x in pieces.values()], pa.binary())], names=["piece", "bits"])
+
+    set_ = map_chunks(items.select("w"), places, "piece bigint, bit bigint").distinct().repartition("piece")
+    out = np.zeros(bits // 8, np.uint8)
+    for r in map_arrow(set_, join, "piece bigint, bits binary").collect():  # FILTER_BITS / 8 bytes at most
+        out[r["piece"] * PIECE_BITS // 8 : (r["piece"] + 1) * PIECE_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def passes(bits: np.ndarray, w: np.ndarray) -> np.ndarray:
+    out = np.ones(len(w), bool)
+    for p in probes(w, 8 * len(bits)):
+        out &= (bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
     return out
 
 
-def make_block(items: list[tuple[int, str]]) -> Block:
-    tokens = [canonical(t) for _, t in items]
-    ids = [np.array([Canonicaliser.ident(x) for x, _ in t], np.uint64) for t in tokens]
-    hashed = [windows(x) for x in ids]
-    h = np.concatenate(hashed) if hashed else np.zeros(0, np.uint64)
-    item = np.repeat(np.arange(len(items)), [len(x) for x in hashed])
-    at = np.concatenate([np.arange(len(x)) for x in hashed]) if hashed else item
-    order = np.argsort(h, kind="stable")
-    unique, starts = np.unique(h[order], return_index=True)
-    return Block(unique, np.append(starts, len(h)), item[order], at[order], [i for i, _ in items], tokens, np.array([len(set(x.tolist())) for x in hashed]), frozenset(x for t in tokens for x, _ in t))
-
-
-def blocks_of(benchmark: DataFrame) -> Iterator[Block]:
-    """The benchmark (item_id, text) in blocks, streamed; nulls and texts without words are passed over."""
-    part, size = [], 0
-    for r in benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).toLocalIterator():
-        n = len(r["text"].split())
-        if not n:
-            continue
-        if part and size + n > BLOCK_WINDOWS:
-            yield make_block(part)
-            part, size = [], 0
-        part.append((r["item_id"], r["text"]))
-        size += n
-    if part:
-        yield make_block(part)
-
-
-def slots_agree(item: list[tuple[str, str | None]], pairs: list[tuple[int, list[tuple[str, str | None]]]]) -> tuple[bool, int]:
-    """Whether the matched windows fill the item's slots consistently, and how many of the values differ from the item's.
-
-    pairs: window number in the item and the document's tokens there. A value of the item, say a name, must stand for one
-    value throughout; a quarter of the fillings may disagree, for the edits that a near copy has.
+def row_keys(docs: DataFrame) -> list[Column]:
+    """dk and rk: rows with the same id and text have the same keys, all others different ones."""
+    return [F.xxhash64("doc_id", "text").alias("dk"), F.xxhash64("text", F.lit(5)).alias("rk")]
+
+
+def document_windows(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
+    """dk, rk, place, w, vals: the windows of documents that pass the filter; sizes are those of the short items."""
+    shared = docs.sparkSession.sparkContext.broadcast((bits, tuple(sizes)))  # FILTER_BITS / 8 bytes at most
+    state: dict = {}
+
+    def run(t: pa.RecordBatch) -> pa.RecordBatch:
+        (bits, sizes), reader = shared.value, state.setdefault("reader", Canonicaliser())
+        texts = [(x or "").split() for x in t.column(2).to_pylist()]
+        reader.add(set().union(*texts))
+        row, places, found, values = [], [], [], []
+        for i, words in enumerate(texts):
+            if not words:
+                continue
+            template_ids, literal_ids, word_of = reader.encode(words)
+            for size in (WINDOW, *sizes):
+                w = windows(template_ids if size == WINDOW else literal_ids, size)
+                at = np.flatnonzero(passes(bits, w))
+                row += [i] * len(at)
+                places += at.tolist()
+                found.append(w[at])
+                values += [values_of(words, word_of, k, size) for k in at.tolist()]
+        keys = [t.column(k).take(pa.array(row, pa.int64())) for k in (0, 1)]
+        w = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+        return pa.record_batch([*keys, pa.array(places, pa.int32()), pa.array(w), pa.array(values, pa.list_(pa.string()))], names=["dk", "rk", "place", "w", "vals"])
+
+    return map_chunks(docs.select(*row_keys(docs), "text"), run, "dk bigint, rk bigint, place int, w bigint, vals array<string>", done=state.clear)
+
+
+def slots_agree(own: list[list[str | None]], vals: list[list[str | None]]) -> tuple[bool, int]:
+    """Whether matching windows fill the item's slots consistently, and how many of the values differ from the item's.
+
+    own, vals: of each match the item's placeholders (kind:value) and the values in the text. A value of the item, say a name,
+    must stand for one value throughout; a quarter of the fillings may disagree, for the edits that a near copy has.
     """
-    votes: dict[tuple[str, str], dict[str, int]] = {}
-    for at, tokens in pairs:
-        for k, (kind, value) in enumerate(tokens):
-            if value is not None:
-                seen = votes.setdefault((kind, item[at + k][1]), {})
+    votes: dict[str, dict[str, int]] = {}
+    for mine, theirs in zip(own, vals):
+        for slot, value in zip(mine, theirs):
+            if slot is not None and value is not None:
+                seen = votes.setdefault(slot, {})
                 seen[value] = seen.get(value, 0) + 1
     total = sum(sum(v.values()) for v in votes.values())
     agreed = sum(max(v.values()) for v in votes.values())
-    changed = sum(max(v, key=lambda x: (v[x], x)) != own for (_, own), v in votes.items())
+    changed = sum(max(v, key=lambda x: (v[x], x)) != slot.partition(":")[2] for slot, v in votes.items())
     return agreed >= SIMILARITY * total, changed
 
 
-def occurrence_agrees(block: Block, item: int, hashes: np.ndarray, at: np.ndarray, source: np.ndarray, tokens: dict[int, list], similarity: float) -> bool:
-    """Whether the item stands somewhere in the text, judged by the windows of that occurrence alone.
+def judge(item: tuple[np.ndarray, np.ndarray, list], text: tuple[np.ndarray, np.ndarray, list], n_tokens: int, similarity: float) -> tuple[int, int, int] | None:
+    """(matched windows, windows, changed slots) if the text holds the item; each of the two is (places, windows, slots).
 
-    at, source: places of the matching windows in the item and in the text. An occurrence is what lies around one alignment
-    (source - at): first just there, then with words put in or left out, up to half the item's length, which keeps the next
-    variant of the item apart. Each window of the item counts at its place closest to that alignment.
+    First all matching windows are judged together. If they disagree, occurrences are judged, each an alignment (place in the
+    text - place in the item) with what lies around it: first just there, then with words put in or left out, up to half the
+    item's length, which keeps the next variant of the item apart. Each window of the item counts at its place closest to
+    that alignment.
     """
-    order = np.lexsort((at, source - at))
-    at, source = at[order], source[order]
-    shift, need = source - at, similarity * block.n_windows[item]
-    for slack in (0, max(len(block.tokens[item]) // 2, 1)):
+    (at, w, own), (place, v, vals) = item, text
+    distinct = len(np.unique(w))
+    need = similarity * distinct
+    order = np.argsort(w, kind="stable")
+    low, high = np.searchsorted(w[order], v, "left"), np.searchsorted(w[order], v, "right")
+    source = np.repeat(np.arange(len(v)), high - low)
+    target = order[np.concatenate([np.arange(a, b) for a, b in zip(low, high)])] if len(source) else source
+    matched = len(np.unique(w[target]))
+    if matched < need or not matched:
+        return None
+    agree, changed = slots_agree([own[i] for i in target], [vals[i] for i in source])
+    if agree:
+        return matched, distinct, changed
+    shift = place[source] - at[target]
+    order = np.lexsort((at[target], shift))
+    source, target, shift = source[order], target[order], shift[order]
+    best = None
+    for slack in (0, max(n_tokens // 2, 1)):
         for s in np.unique(shift):
             a, b = np.searchsorted(shift, (s - slack, s + slack + 1))
             if b - a < need:
                 continue
             near = a + np.argsort(np.abs(shift[a:b] - s), kind="stable")
-            near = near[np.unique(at[near], return_index=True)[1]]
-            if len(np.unique(hashes[source[near]])) < need:
-                continue
-            if slots_agree(block.tokens[item], [(int(x), tokens[int(y)]) for x, y in zip(at[near], source[near])])[0]:
-                return True
-    return False
+            near = near[np.unique(at[target[near]], return_index=True)[1]]
+            if len(np.unique(w[target[near]])) >= need:
+                agree, changed = slots_agree([own[i] for i in target[near]], [vals[i] for i in source[near]])
+                if agree and (best is None or changed < best):
+                    best = changed
+    return None if best is None else (matched, distinct, best)
+
+
+FOUND = "dk bigint, rk bigint, item_id bigint, n_matched bigint, n_windows bigint, n_changed bigint"
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Rows of FOUND: each pair of a document (dk, rk as in row_keys) and an item that it holds, as a table of its own."""
+    items = cut(item_windows(benchmark))
+    facts = items.agg(F.count("*").alias("n"), F.collect_set(F.when(F.col("n_tokens") < WINDOW, F.col("n_tokens"))).alias("short")).first()  # short: four numbers at most
+    hits = cut(document_windows(docs, window_filter(items, facts["n"]), sorted(facts["short"])))
+    # Of each item the rarest windows: so many that 75 of 100 can't be reached without one of them.
+    once = items.select("ik", "w").distinct()
+    spread = once.withColumn("c", F.count("*").over(Window.partitionBy("w")))
+    ranked = spread.select("ik", "w", F.row_number().over(Window.partitionBy("ik").orderBy("c", "w")).alias("r"), F.count("*").over(Window.partitionBy("ik")).alias("n"))
+    rare = ranked.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * similarity) + 1).select("ik", "w")
+    pairs = hits.select("dk", "rk", "w").distinct().join(rare.hint("shuffle_hash"), "w").select("dk", "rk", "ik").distinct()
+    mine = cut(pairs.join(items, "ik").select("dk", "rk", "ik", F.lit(0).alias("side"), "place", "w", F.col("own").alias("slots"), "item_id", "n_tokens"))
+    wanted = mine.select("dk", "rk", "ik", "w").distinct()
+    theirs = wanted.join(hits, ["dk", "rk", "w"]).select("dk", "rk", "ik", F.lit(1).alias("side"), "place", "w", F.col("vals").alias("slots"), F.lit(None).cast("bigint").alias("item_id"), F.lit(None).cast("int").alias("n_tokens"))
+    # Rows that repeat an id and text are one document, whose windows count once.
+    both = mine.union(theirs.dropDuplicates(["dk", "rk", "ik", "place", "w"]))
+    dealt = both.repartition("dk", "rk", "ik").sortWithinPartitions("dk", "rk", "ik", "side", "place")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
 
-def find_in(words: list[str], ids: np.ndarray, word_of: np.ndarray, block: Block, similarity: float, each: bool = False) -> list[tuple]:
-    """(item_id, matched windows, windows, changed slots) of the items that text holds.
-
-    each: an item is also found if one occurrence of it agrees, whatever other windows of the text say.
-    """
-    h = windows(ids)
-    if not len(h) or not len(block.hashes):
-        return []
-    place = np.minimum(np.searchsorted(block.hashes, h), len(block.hashes) - 1)
-    hit = np.flatnonzero(block.hashes[place] == h)
-    if not len(hit):
-        return []
-    lengths = block.starts[place[hit] + 1] - block.starts[place[hit]]
-    source = np.repeat(hit, lengths)
-    flat = np.concatenate([np.arange(block.starts[p], block.starts[p + 1]) for p in place[hit]])
-    items, at = block.items[flat], block.at[flat]
-    out = []
-    for item in np.unique(items):
-        own = items == item
-        matched = len(np.unique(h[source[own]]))
-        if matched < similarity * block.n_windows[item]:
-            continue
-        tokens = _tokens(words, ids, word_of, source[own])
-        pairs = [(int(a), tokens[int(s)]) for a, s in zip(at[own], source[own])]
-        agree, changed = slots_agree(block.tokens[item], pairs)
-        if agree or (each and occurrence_agrees(block, item, h, at[own], source[own], tokens, similarity)):
-            out.append((block.item_ids[item], matched, int(block.n_windows[item]), changed))
-    return out
+        def done() -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held)
+            side, place, w = (t.column(k).to_numpy() for k in (3, 4, 5))
+            slots, n = t.column(6).to_pylist(), int((side == 0).sum())
+            said = judge((place[:n], w[:n], slots[:n]), (place[n:], w[n:], slots[n:]), t.column(8)[0].as_py(), similarity)
+            if said:
+                yield pa.record_batch([pa.array([x], pa.int64()) for x in (key[0], key[1], t.column(7)[0].as_py(), *said)], names=["dk", "rk", "item_id", "n_matched", "n_windows", "n_changed"])
 
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([batch.column(k).to_numpy() for k in range(3)])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for low, high in zip(cuts, cuts[1:]):
+                if (now := tuple(keys[low].tolist())) != key:
+                    if held:
+                        yield from done()
+                    key, held = now, []
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield from done()
 
-def _tokens(words: list[str], ids: np.ndarray, word_of: np.ndarray, starts: np.ndarray) -> dict[int, list]:
-    """The template tokens, with values, of the windows at these places."""
-    out = {}
-    for s in set(starts.tolist()):
-        made = []
-        for k in range(s, min(s + WINDOW, len(ids))):
-            w = int(word_of[k])
-            parts = template(words[w], w == 0 or ends_sentence(words[w - 1]))
-            made.append(parts[1] if len(parts) > 1 and k and word_of[k - 1] == w else parts[0])
-        out[s] = made
-    return out
+    return cut(map_arrow(dealt, run, FOUND))
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -274,64 +378,18 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, simil
 
     Null or empty texts of either table match nothing. Repeated documents are each reported; repeated items likewise. With
     an empty table the result is empty. docs needs doc_id and text, benchmark item_id and text; other columns are not read.
-    Slots are judged over all matching windows of a document together, as OP4_SQL does: a document that holds an item and
-    a variant of it can be missing here, while remove_leaks drops it.
-
-    An item of under five template tokens, also after canonicalising, is one short window and is found only in a document that
-    is nothing else: both here, as OP4_SQL states, and in remove_leaks. It is not looked for inside longer texts.
+    n_changed is of all matching windows together, or if these disagree, of the occurrence that changes least.
     """
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id bigint, n_matched bigint, n_windows bigint, n_changed bigint"
-    found = None
-    for block in blocks_of(benchmark):
-        shared = spark.sparkContext.broadcast(block)  # at most BLOCK_WINDOWS windows
-        part = map_chunks(docs.select("doc_id", "text"), _finder(shared, similarity), schema)
-        found = part if found is None else found.unionAll(part)
-    return found if found is not None else spark.createDataFrame([], schema)
-
-
-def _finder(shared, similarity: float):
-    state: dict = {}
-
-    def run(t: pa.RecordBatch) -> pa.RecordBatch:
-        reader = state.get("reader") or state.setdefault("reader", Canonicaliser(shared.value.vocabulary))
-        texts = [(x or "").split() for x in t.column(1).to_pylist()]
-        reader.add(set().union(*texts))
-        out = []
-        for doc, words in zip(t.column(0).to_pylist(), texts):
-            if words:
-                ids, word_of = reader.encode(words)
-                out += [(doc, *x) for x in find_in(words, ids, word_of, shared.value, similarity)]
-        return pa.record_batch([pa.array([r[0] for r in out], t.column(0).type), *(pa.array([r[k] for r in out], pa.int64()) for k in range(1, 5))], names=["doc_id", "item_id", "n_matched", "n_windows", "n_changed"])
-
-    return run
+    found = leaks(docs.select("doc_id", "text"), benchmark, similarity)
+    rows = docs.select("doc_id", *row_keys(docs))
+    return rows.join(found, ["dk", "rk"]).select("doc_id", "item_id", "n_matched", "n_windows", "n_changed")
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs without the rows whose text holds a benchmark item, in any one occurrence; all columns pass through.
+    """docs without the rows whose text holds a benchmark item; all columns pass through.
 
-    Rows are kept or dropped by a flag computed where they are read, so nothing is shuffled and rows with null or repeated
-    ids are judged by their own text. Null texts stay.
+    Rows with null or repeated ids are judged by their own text. Null texts stay.
     """
-    blocks = [spark.sparkContext.broadcast(b) for b in blocks_of(benchmark)]
-    for shared in blocks:
-        docs = docs.mapInArrow(_keeper(shared, similarity, docs.columns.index("text")), docs.schema)
-    return docs
-
-
-def _keeper(shared, similarity: float, text_at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Canonicaliser(shared.value.vocabulary)
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for start in range(0, batch.num_rows, 512):
-                texts = [(x or "").split() for x in batch.column(text_at).slice(start, 512).to_pylist()]
-                reader.add(set().union(*texts))
-                for i, words in enumerate(texts):
-                    if words:
-                        ids, word_of = reader.encode(words)
-                        keep[start + i] = not find_in(words, ids, word_of, shared.value, similarity, each=True)
-            yield batch.filter(pa.array(keep))
-        del reader
-        give_back()
-
-    return run
+    found = leaks(docs.select("doc_id", "text"), benchmark, similarity).select(F.col("dk").alias("__dk"), F.col("rk").alias("__rk")).distinct()
+    dk, rk = row_keys(docs)
+    return docs.join(found, (dk == F.col("__dk")) & (rk == F.col("__rk")), "left_anti")

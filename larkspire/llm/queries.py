@@ -71,28 +71,38 @@ w AS (SELECT src, id, unnest(a) AS word, unnest(range(len(a))) AS pos
   FROM (SELECT src, id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') AS a FROM t)),
 c AS (SELECT *, regexp_replace(word, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') AS core,
   coalesce(lag(regexp_matches(word, '[.!?:;]["'')\]}»”’]*$')) OVER (PARTITION BY src, id ORDER BY pos), true) AS opens FROM w),
-k AS (SELECT *, lower(core) AS low, regexp_extract(lower(core), '^([$€£]?[-+]?\d+(?:[.,]\d+)*)([a-zµ°%€$£/]+)$', ['n', 'u']) AS nu FROM c),
+k AS (SELECT *, lower(core) AS low, regexp_extract(lower(core), '^([$€£]?[-+]?\d+(?:[.,]\d+)*)([a-zµ°%€$£/]+)$', ['n', 'u']) AS nu,
+  regexp_full_match(lower(core), '[-+]?(?:\d+(?:[.,:/]\d+)*)(?:st|nd|rd|th|%)?') AS num FROM c),
+e AS (SELECT *, coalesce(lag(num) OVER p, false) OR coalesce(lead(num) OVER p, false) AS beside FROM k WINDOW p AS (PARTITION BY src, id ORDER BY pos)),
 x AS (SELECT src, id, pos, CASE
-  WHEN low IN (UNITS) OR lower(word) IN (UNITS) THEN [{'t': '<unit>', 'v': coalesce(nullif(low, ''), word)}]
+  WHEN beside AND (low IN (UNITS) OR lower(word) IN (UNITS)) THEN [{'t': '<unit>', 'v': coalesce(nullif(low, ''), word)}]
   WHEN core = '' THEN []
-  WHEN regexp_full_match(low, '[-+]?(?:\d+(?:[.,:/]\d+)*)(?:st|nd|rd|th|%)?') THEN [{'t': '<num>', 'v': low}]
+  WHEN num THEN [{'t': '<num>', 'v': low}]
   WHEN nu.u IN (UNITS) THEN [{'t': '<num>', 'v': nu.n}, {'t': '<unit>', 'v': nu.u}]
   WHEN NOT opens AND regexp_matches(core, '^\p{Lu}') THEN [{'t': '<name>', 'v': low}]
-  ELSE [{'t': low, 'v': NULL}] END AS parts FROM k),
+  ELSE [{'t': low, 'v': NULL}] END AS parts FROM e),
 u AS (SELECT src, id, pos, unnest(parts) AS part, unnest(range(len(parts))) AS sub FROM x),
-y AS (SELECT src, id, part.t AS t, part.v AS v, row_number() OVER (PARTITION BY src, id ORDER BY pos, sub) - 1 AS i FROM u),
-g AS (SELECT * FROM (SELECT src, id, i, concat_ws(chr(1), t, lead(t, 1) OVER p, lead(t, 2) OVER p, lead(t, 3) OVER p, lead(t, 4) OVER p) AS w,
-  count(*) OVER (PARTITION BY src, id) AS n FROM y WINDOW p AS (PARTITION BY src, id ORDER BY i)) WHERE i <= greatest(n - 5, 0)),
-hits AS (SELECT b.id AS item, d.id AS doc, b.i AS bi, d.i AS di, b.w AS w FROM g b JOIN g d ON b.src = 1 AND d.src = 0 AND b.w = d.w),
+y AS (SELECT src, id, part.t AS t, part.v AS v, coalesce(part.v, part.t) AS l, row_number() OVER (PARTITION BY src, id ORDER BY pos, sub) - 1 AS i, count(*) OVER (PARTITION BY src, id) AS n FROM u),
+z AS (SELECT src, id, i, n, [t, lead(t, 1) OVER p, lead(t, 2) OVER p, lead(t, 3) OVER p, lead(t, 4) OVER p] AS ts, [l, lead(l, 1) OVER p, lead(l, 2) OVER p, lead(l, 3) OVER p] AS ls FROM y WINDOW p AS (PARTITION BY src, id ORDER BY i)),
+g AS (SELECT src, id, i, n, 5 AS size, array_to_string(ts, chr(1)) AS w FROM z WHERE i <= n - 5
+  UNION ALL SELECT src, id, i, n, size, size || chr(2) || array_to_string(ls[1:size], chr(1)) FROM z JOIN (SELECT DISTINCT n AS size FROM y WHERE src = 1 AND n < 5) ON i <= n - size AND (src = 0 OR n = size)),
+hits AS (SELECT b.id AS item, d.id AS doc, b.i AS bi, d.i AS di, b.w AS w, b.size AS size, d.i - b.i AS s, b.n AS tokens FROM g b JOIN g d ON b.src = 1 AND d.src = 0 AND b.w = d.w),
 nb AS (SELECT id AS item, count(DISTINCT w) AS n FROM g WHERE src = 1 GROUP BY id),
 ok AS (SELECT item, doc, m, n FROM (SELECT item, doc, count(DISTINCT w) AS m FROM hits GROUP BY item, doc) JOIN nb USING (item) WHERE m >= 0.75 * n),
-q AS (SELECT item, doc, bi + o.k AS bi, di + o.k AS di FROM hits JOIN ok USING (item, doc) CROSS JOIN range(5) o(k)),
-votes AS (SELECT q.item, q.doc, a.t AS kind, a.v AS own, b.v AS val, count(*) AS c FROM q
-  JOIN y a ON a.src = 1 AND a.id = q.item AND a.i = q.bi JOIN y b ON b.src = 0 AND b.id = q.doc AND b.i = q.di WHERE b.v IS NOT NULL GROUP BY ALL),
-best AS (SELECT item, doc, kind, own, max(c) AS top, sum(c) AS total, arg_max(val, (c, val)) AS most FROM votes GROUP BY item, doc, kind, own),
-slots AS (SELECT item, doc, sum(top) AS agreed, sum(total) AS total, count(*) FILTER (WHERE most <> own) AS changed FROM best GROUP BY item, doc)
-SELECT doc AS doc_id, item AS item_id, m AS n_matched, n AS n_windows, CAST(coalesce(changed, 0) AS BIGINT) AS n_changed
-FROM ok LEFT JOIN slots USING (item, doc) WHERE coalesce(agreed, 0) >= 0.75 * coalesce(total, 0)
+h AS (SELECT hits.* FROM hits JOIN ok USING (item, doc)),
+slack AS (SELECT DISTINCT item, doc, s, unnest([0, greatest(tokens // 2, 1)]) AS slack FROM h),
+near AS (SELECT * FROM (SELECT h.*, a.s AS centre, slack, row_number() OVER (PARTITION BY item, doc, a.s, slack, bi ORDER BY abs(h.s - a.s), h.s) AS r
+  FROM h JOIN slack a USING (item, doc) WHERE abs(h.s - a.s) <= slack) WHERE r = 1),
+occ AS (SELECT item, doc, centre, slack FROM near JOIN nb USING (item) GROUP BY item, doc, centre, slack, n HAVING count(DISTINCT w) >= 0.75 * n),
+q AS (SELECT item, doc, NULL AS centre, NULL AS slack, bi, di, size FROM h UNION ALL SELECT item, doc, centre, slack, bi, di, size FROM near JOIN occ USING (item, doc, centre, slack)),
+votes AS (SELECT q.item, q.doc, q.centre, q.slack, a.t AS kind, a.v AS own, b.v AS val, count(*) AS c FROM q CROSS JOIN range(5) o(k)
+  JOIN y a ON a.src = 1 AND a.id = q.item AND a.i = q.bi + o.k JOIN y b ON b.src = 0 AND b.id = q.doc AND b.i = q.di + o.k WHERE o.k < q.size AND a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY ALL),
+best AS (SELECT item, doc, centre, slack, kind, own, max(c) AS top, sum(c) AS total, arg_max(val, (c, val)) AS most FROM votes GROUP BY ALL),
+told AS (SELECT item, doc, centre, slack, sum(top) AS agreed, sum(total) AS total, count(*) FILTER (WHERE most <> own) AS changed FROM best GROUP BY ALL),
+judged AS (SELECT p.item, p.doc, p.centre, coalesce(changed, 0) AS changed FROM (SELECT DISTINCT item, doc, centre, slack FROM q) p
+  LEFT JOIN told s ON s.item = p.item AND s.doc = p.doc AND s.centre IS NOT DISTINCT FROM p.centre AND s.slack IS NOT DISTINCT FROM p.slack WHERE coalesce(agreed, 0) >= 0.75 * coalesce(total, 0))
+SELECT doc AS doc_id, item AS item_id, m AS n_matched, n AS n_windows, CAST(coalesce(max(changed) FILTER (WHERE centre IS NULL), min(changed)) AS BIGINT) AS n_changed
+FROM judged JOIN ok USING (item, doc) GROUP BY item, doc, m, n
 """
 
 
