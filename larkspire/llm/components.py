@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import cut
+from larkspire.llm.common import cut, drop_table, map_arrow
 
 #: Edges that a task contracts together before any shuffle.
 CONTRACT_EDGES = 500_000
@@ -55,7 +55,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
                 parts, size = [], 0
         yield from out()
 
-    return edges.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+    return map_arrow(edges.select("a", "b"), run, "a bigint, b bigint")
 
 
 def _with_least(pairs: DataFrame, both: DataFrame) -> DataFrame:
@@ -69,12 +69,14 @@ def _with_least(pairs: DataFrame, both: DataFrame) -> DataFrame:
     return pairs.select(key, "u", "v").join(least.select(key, "m"), "x")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
     """(node, component) of every node that has an edge; component is its smallest reachable node.
 
     edges has bigint a and b. Null ends and loops are passed over, repeated edges count once. No edge gives no row.
+    contracted: the tasks that make the edges have contracted them already, so no further Python workers are needed for that.
     """
-    edges = cut(_contracted(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))).distinct())
+    edges = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+    edges = cut((edges if contracted else _contracted(edges)).distinct())
     told = None
     for _ in range(MAX_ROUNDS):
         # Large star: every larger neighbour v of u goes to u's least neighbour.
@@ -83,7 +85,8 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: u and its smaller neighbours go to the least of them.
         down = large.selectExpr("b AS u", "a AS v")
         moved = _with_least(down, down)
-        edges = cut(moved.selectExpr("m AS a", "v AS b").union(moved.selectExpr("m AS a", "u AS b")).where("a != b").distinct())
+        before, edges = edges, cut(moved.selectExpr("m AS a", "v AS b").union(moved.selectExpr("m AS a", "u AS b")).where("a != b").distinct())
+        drop_table(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("b")).first()
         if now[0] == now[2] and tuple(now) == told:  # each node has one edge, to its component, and nothing moves
             break

@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from larkspire.llm import minhash_dedup as M
+from larkspire.llm.common import cut
 from larkspire.llm.components import components, contract
 from tests.llm.helpers import documents, rows
 
@@ -70,6 +71,49 @@ def test_edges(spark):
     assert kept.columns == clash.columns and rows(kept, "doc_id") == [(0,), (2,)]
 
 
+def test_what_is_apart_meets_once(spark, monkeypatch):
+    """Each two nodes of a cluster with different labels meet in one pair of blocks; a large label's own nodes don't."""
+    monkeypatch.setattr(M, "BLOCK_DOCS", 16)
+    labelled = {i: 0 if i < 100 else 100 if i < 140 else i for i in range(160)} | {i: 500 for i in range(500, 540)}
+    clusters = spark.createDataFrame([(i, 0 if i < 500 else 500) for i in labelled], "node long, component long")
+    labels = spark.createDataFrame([(i, c) for i, c in labelled.items() if i % 7 or c != i], "node long, component long")
+    met, seen = {}, M.blocks_apart(clusters, labels).collect()
+    for r in seen:
+        assert r.label == labelled[r.node] and r.component == 0
+        met.setdefault((r.g, r.i, r.h, r.j), []).append((r["first"], r.node))
+    times = {}
+    for (g, i, h, j), nodes in met.items():
+        for k, (x, a) in enumerate(nodes):
+            for y, b in nodes[:k]:
+                if labelled[a] != labelled[b] and (x != y or (g, i) == (h, j)):
+                    times[frozenset((a, b))] = times.get(frozenset((a, b)), 0) + 1
+    assert set(times.values()) == {1} and len(times) == sum(labelled[a] != labelled[b] for a in range(160) for b in range(a))
+    assert not any(g == h and g is not None for g, _, h, _ in met)
+
+
+def test_large_groups_stay_linear(spark, monkeypatch):
+    """Near copies of one text are confirmed with about one comparison each, and nothing is left to compare in blocks."""
+    monkeypatch.setattr(M, "BLOCK_DOCS", 32)
+    random.seed(6)
+    base = [f"w{random.randrange(900)}" for _ in range(120)]
+    texts = [" ".join(base[:i % 100] + [f"new{i}"] + base[i % 100 + 1 :]) for i in range(700)]
+    docs = documents(spark, texts).selectExpr("doc_id AS did", "text")
+    pairs = cut(M.candidate_pairs(M.signed(documents(spark, texts)).select("did", "sig")))
+    links = M.partner_links(docs, pairs)
+    assert links.count() <= len(texts) and links.where("a >= b").count() == 0
+    labels, clusters = components(links), components(pairs)
+    assert clusters.select("component").distinct().count() == 1
+    assert M.blocks_apart(clusters, labels).count() <= 4 * len(texts)
+
+
+def test_very_long_texts(spark):
+    random.seed(7)
+    words = [f"w{random.randrange(5000)}" for _ in range(150_000)]
+    other = words[:40_000] + ["x"] + words[40_001:]
+    got = rows(M.near_duplicates(documents(spark, [" ".join(words), "short one here", " ".join(other), " ".join(words[:75_000])])), "doc_id", "component_id")
+    assert got == [(0, 0), (1, 1), (2, 0), (3, 3)]
+
+
 def test_both_ways_of_comparing_agree():
     random.seed(8)
     sets = [np.unique(np.array([random.randrange(60) for _ in range(random.randrange(1, 60))], np.uint64)) for _ in range(20)] + [np.zeros(0, np.uint64)]
@@ -84,6 +128,11 @@ def test_both_ways_of_comparing_agree():
     a, b = M.link_edges(sets, nodes, side)
     pairs = [(nodes[i], nodes[j]) for i in range(len(sets)) for j in range(i) if M.linked(sets[i], sets[j])]
     assert groups(a, b) == groups(*zip(*pairs))
+    label = np.array([random.randrange(12) for _ in sets])
+    for some in (slice(0, 20), slice(None)):
+        a, b = M.link_edges(sets[some], nodes[some], side[some], label=label[some])
+        pairs = [(nodes[some][i], nodes[some][j]) for i in range(len(sets[some])) for j in range(i) if label[i] != label[j] and M.linked(sets[i], sets[j])]
+        assert groups(a, b) == groups(*zip(*pairs))
 
 
 def test_components(spark):
