@@ -23,20 +23,28 @@ def processor():
 
 
 def test_counts_like_the_library(processor, monkeypatch):
-    for memo in (400_000, 25):
-        monkeypatch.setattr(C, "MEMO_ENTRIES", memo)
+    for memo in (1 << 25, 25):
+        monkeypatch.setattr(C, "MEMO_BYTES", memo)
         counter = C.WholeTokenCounter(MODEL)
-        assert counter.cuts_words and counter.cuts_lines and len(counter.whole) > 10_000
+        assert counter.cuts_words and counter.cuts_lines and len(counter.proof.whole) > 10_000
         for some in (ODD, texts(1), texts(2)):
             assert counter.count(some) == [len(processor.encode(t or "")) for t in some]
 
 
 def test_whole_tokens_are_proven(processor):
-    counter = C.WholeTokenCounter(MODEL)
-    for surface in list(counter.whole)[1:2000:37]:
+    for surface in sorted(C.prove(MODEL).whole)[1:2000:37]:
         assert len(processor.encode(surface)) == 1
 
 
+def test_normaliser_is_read_from_the_model():
+    message = lambda *parts: b"".join(bytes([k << 3 | 2, len(v)]) + v if isinstance(v, bytes) else bytes([k << 3, v]) for k, v in parts)
+    rules = {1: b"identity", 2: b"", 3: 1, 4: 0, 5: 1}
+    assert C.marks_spaces_only(message((1, b"piece"), (3, message(*rules.items()))))
+    for number, value in ((2, b"table"), (3, 0), (4, 1), (5, 0)):
+        assert not C.marks_spaces_only(message((3, message(*(rules | {number: value}).items()))))
+    assert not C.marks_spaces_only(b"")  # a model that says nothing removes extra spaces
+
+
 def test_query(spark, processor):
     docs = documents(spark, ODD + ODD + [(None, "a b")])
     got = rows(C.count_tokens(docs.selectExpr("*", "1 AS n_bytes", "2 AS n_tokens"), MODEL, limit=500), "doc_id", "n_bytes", "n_tokens", "over_limit")
