@@ -68,5 +68,43 @@ def test_edges(spark):
     assert ann.nearest(df, df.where("vec_id = 1")).count() == 0
 
 
+def test_extra_columns_and_long_vectors(spark):
+    random = np.random.default_rng(2)
+    x = random.normal(size=(40, 1500))
+    df = table(spark, range(40), x).selectExpr("*", "1 AS id", "2 AS v", "3 AS cell", "4 AS query_id", "5 AS known")
+    got = _by_query(ann.nearest(df, df.where("vec_id % 20 = 0"), k=50))
+    assert {q: [i for i, _ in r] for q, r in got.items()} == {q: [i for i, _ in brute(range(40), x, q, x[q], 50)] for q in (0, 20)}
+
+
+def test_descent_passes_over_branches():
+    random = np.random.default_rng(3)
+    points = random.normal(size=(5000, 4)) + 20 * random.integers(0, 3, size=(5000, 1))
+    tree, queries = ann.Tree(points), points[::700]
+    limits = np.full(len(queries), 3.0)
+    q, leaf, bound = tree.descend(queries, limits)
+    leaves = np.flatnonzero(tree.children[:, 0] < 0)
+    for i, own in enumerate(queries):
+        every = ann.box_bounds(own[None, :], tree.low[leaves], tree.high[leaves])
+        assert sorted(leaf[q == i].tolist()) == leaves[every < 3.0].tolist() and (np.diff(bound[q == i]) >= 0).all()
+    assert len(q) < len(queries) * len(leaves) / 2
+    assert (ann.box_bounds(queries, tree.low[tree.nearest_leaf(queries)], tree.high[tree.nearest_leaf(queries)]) == 0).mean() > 0.5
+
+
+def test_cells_grow_with_the_input_and_queries_visit_few(spark, monkeypatch):
+    """With clusters in the data a query goes to about as many cells whatever the number of vectors is, so what is dealt grows in proportion."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 100)
+    random = np.random.default_rng(4)
+    centres, visited = random.normal(size=(30, 12)) * 30, []
+    for n in (1500, 3000):
+        x = centres[np.arange(n) % 30] + random.normal(size=(n, 12))
+        top = ann.fit_top(ann.usable(table(spark, range(n), x), "vec_id", "embedding"))[12]
+        assert top.parts.sum() >= n / 100 and (top.parts <= 3).all()
+        projected, scale = ann.project_queries(x[:60], top.norm)
+        kth = np.sort(x[:60] @ x.T, axis=1)[:, -21]
+        limits = ann.chi_square_quantile(0.9, ann.DIRECTIONS) * np.maximum(2 * top.norm**2 - 2 * scale * kth, 0)
+        visited.append((top.bounds(projected) < limits[:, None]).mean())
+    assert visited[1] < 1.2 * visited[0] and visited[1] < 0.9
+
+
 def test_quantile():
     assert abs(ann.chi_square_quantile(0.95, 8) - 15.507) < 1e-3
