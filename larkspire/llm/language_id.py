@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import held_out, map_chunks
+from larkspire.llm.common import held_out, map_arrow, map_chunks
 from larkspire.llm.sampling import stratified
 
 BUCKETS = 1 << 15
@@ -43,8 +43,8 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at, counts[at]
 
 
-def features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, counts = ngram_counts(text)
+def features(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text's TF-IDF vector, of length 1, from its ngram_counts()."""
     values = (1 + np.log(counts)) * idf[at]
     norm = np.sqrt(values @ values)
     return at, values / norm if norm else values
@@ -97,7 +97,7 @@ class LanguageModel:
         """The language and its calibrated probability; `und` and 0 for a text without a letter, or without a model."""
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
-        at, x = features(text, self.idf)
+        at, x = features(*ngram_counts(text), self.idf)
         s = (x @ self.weights[at]) / self.temperature
         p = np.exp(s - s.max())
         best = int(p.argmax())
@@ -118,7 +118,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.record_batch([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(total[at], n))], names=["bucket", "n"])
 
     out, n = np.zeros(BUCKETS, np.int64), 0
-    for r in docs.mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # one row for each bucket
+    for r in map_arrow(docs, run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # one row for each bucket
         if r["bucket"] < 0:
             n = r["n"]
         else:
@@ -126,6 +126,21 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, n
 
 
+def sampled_counts(docs: DataFrame) -> list[tuple]:
+    """(doc_id, lang, buckets, counts) of the sampled documents with a letter: at most BUCKETS counts each, not their texts."""
+
+    def run(t: pa.RecordBatch) -> pa.RecordBatch:
+        texts = t.column(2).to_pylist()
+        rows = [i for i, x in enumerate(texts) if has_letter(x)]
+        made = [ngram_counts(texts[i]) for i in rows]
+        more = [pa.array([m[k].tolist() for m in made], pa.list_(pa.int32())) for k in (0, 1)]
+        return pa.record_batch([*(t.column(k).take(pa.array(rows, pa.int64())) for k in (0, 1)), *more], names=["doc_id", "lang", "at", "counts"])
+
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, at array<int>, counts array<int>"
+    rows = map_chunks(docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), run, schema).collect()
+    return sorted((r["doc_id"], r["lang"], r["at"], r["counts"]) for r in rows)
+
+
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """Fit on docs (doc_id, text, lang), all of which are training rows. Every lang is learned, for 0.26 MB of weights each."""
     docs = docs.where(F.col("lang").isNotNull())
@@ -134,13 +149,12 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageM
     chosen, counts = stratified(docs, "lang", "doc_id", per_language)
     languages = sorted(counts)
     ids = chosen.select("doc_id").distinct()
-    rows = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text", "lang").collect() if languages else []
-    rows = sorted((r for r in rows if has_letter(r["text"]) and r["lang"] in counts), key=lambda r: (r["doc_id"], r["lang"], r["text"]))
+    rows = sampled_counts(docs.join(F.broadcast(ids), "doc_id", "left_semi")) if languages else []
     if not rows:
         return LanguageModel([], idf, np.zeros((BUCKETS, 1)), 1.0)
     number = {x: i for i, x in enumerate(languages)}
-    labels = np.array([number[r["lang"]] for r in rows])
-    made = [features(r["text"], idf) for r in rows]
+    labels = np.array([number[lang] for _, lang, _, _ in rows])
+    made = [features(np.array(at, np.int64), np.array(n), idf) for _, _, at, n in rows]
     apart = np.arange(len(rows)) % 5 == 4
     apart &= np.isin(labels, labels[~apart])  # a language with all its rows there would not be learned
     weights = fit_ftrl([m for m, a in zip(made, apart) if not a], labels[~apart], len(languages))

@@ -35,6 +35,16 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_repeats_clashing_columns_and_long_texts(spark):
+    rows = corpus(150)
+    long = " ".join(t for _, t, g in rows if g == "de") * 60
+    more = [(2000, long, "de"), (2000, long, "de"), (2001, rows[0][1], None), (0, rows[0][1], rows[0][2])]
+    docs = table(spark, rows + more).selectExpr("*", "1 AS score", "2 AS held_out", "3 AS lang_pred", "4 AS at", "5 AS counts")
+    got = sorted((r.doc_id, r.lang_pred, r.score) for r in L.identify_held_out(docs).collect())
+    assert len(got) == 154 and got[-2] == got[-3] and got[-2][:2] == (2000, "de")
+    assert got[0] == got[1] and got[-1][1:] == got[0][1:]
+
+
 def test_only_training_rows_teach(spark):
     rows = [(i, "abc def", "en") for i in range(40)]
     rows = [(i, t, g if zlib.crc32(str(i).encode()) % 5 else "secret") for i, t, g in rows]
@@ -61,7 +71,7 @@ def test_document_frequencies_match_brute_force(spark):
 def test_penalty_makes_weights_sparse():
     random.seed(1)
     idf = np.ones(L.BUCKETS)
-    rows = [L.features(t, idf) for _, t, _ in corpus(200)]
+    rows = [L.features(*L.ngram_counts(t), idf) for _, t, _ in corpus(200)]
     labels = np.array([sorted(WORDS).index(g) for _, _, g in corpus(200)])
     kept = [np.count_nonzero(L.fit_ftrl(rows, labels, 3, l1=l1)) for l1 in (0.0, 0.05, 0.5)]
     assert kept[0] > kept[1] > kept[2]
