@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import cut, map_chunks
+from larkspire.llm.common import cut, map_arrow, map_chunks
 
 BLANKS = b" \t\n\x0b\f\r"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -152,7 +152,7 @@ def repeated_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, keep_firs
 
     hashed = line_hashes(docs, min_chars)
     dealt = hashed.repartitionByRange("h1", "did").sortWithinPartitions("h1", "h2", "did", "rk", "pos")
-    found = cut(dealt.mapInArrow(run, FOUND))
+    found = cut(map_arrow(dealt, run, FOUND))
     place = F.struct("did", "rk", "pos")
     edges = found.where(F.col("kind") == EDGE).groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.min(place).alias("first"))
     edges = edges.where(F.col("docs") >= min_docs)

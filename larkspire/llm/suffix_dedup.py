@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import cut, map_chunks
+from larkspire.llm.common import cut, map_arrow, map_chunks
 from larkspire.llm.line_dedup import NO_ID
 
 THRESHOLD = 100
@@ -311,7 +311,7 @@ def repeated_bytes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = _placed(docs)
     # Ranges have no number of their own: spark.sql.shuffle.partitions holds, as for any other exchange.
     dealt = map_chunks(placed, _deal_runs, RUNS).repartitionByRange("key", "content").sortWithinPartitions("key", "content", "did", "rk", "start")
-    settled = cut(dealt.mapInArrow(_settle, RUNS))
+    settled = cut(map_arrow(dealt, _settle, RUNS))
     plain = settled.where("n < 0").select("did", "rk", "start", (-F.col("n")).alias("end"))
     several = settled.where("n > 0")
     # As a table its size is known before the joins with it are planned, so the runs aren't shuffled for a few keys or none.
@@ -326,7 +326,7 @@ def repeated_bytes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     again = hashed.join(first, ["w1", "w2"]).where(place != F.col("first")).select("did", "rk", "start", (F.col("start") + THRESHOLD).alias("end"))
     wanted = several.join(hot, "key", "left_anti")
     content = map_chunks(of_document(wanted), _content_rows, "key bigint, did bigint, rk bigint, start int, n int, place int, body binary")
-    refined = content.repartition("key").sortWithinPartitions("key").mapInArrow(_refine, "did bigint, rk bigint, start int, end int")
+    refined = map_arrow(content.repartition("key").sortWithinPartitions("key"), _refine, "did bigint, rk bigint, start int, end int")
     return placed, plain.union(refined).union(again)
 
 
