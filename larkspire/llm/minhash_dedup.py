@@ -131,7 +131,10 @@ def counted(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
 
 
 def candidate_pairs(representatives: DataFrame) -> DataFrame:
-    """(a, b, n): pairs of representatives (did, sig), a < b, that meet in n tables where a has the smallest id."""
+    """(a, b, n): pairs of representatives (did, sig), a < b, that meet in n tables, a as the smallest id that b meets there.
+
+    That is the smallest of b's chunk, if b isn't it, which in turn meets the smallest of all.
+    """
 
     def deal(t: pa.RecordBatch) -> pa.RecordBatch:
         sig = np.frombuffer(b"".join(t.column(1).to_pylist()), np.uint32).reshape(t.num_rows, -1)
@@ -144,8 +147,9 @@ def candidate_pairs(representatives: DataFrame) -> DataFrame:
         a, b, n = counted(a, b, np.ones(len(a), np.int64))
         keys, nodes = keys[opens], nodes[opens]
         made = np.concatenate([np.zeros(len(keys), bool), np.ones(len(a), bool)])
-        columns = [np.concatenate(x) for x in ((keys, b.view(np.uint64) * GOLD), (nodes, b), (np.zeros(len(keys), np.int64), a), (np.zeros(len(keys), np.int64), n))] if len(a) else [keys, nodes, np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)]
-        return pa.record_batch([pa.array(columns[0].astype(np.int64)), pa.array(columns[1]), pa.array(columns[2], mask=~made), pa.array(columns[3])], names=["key", "node", "other", "n"])
+        none = np.zeros(len(keys), np.int64)
+        columns = [np.concatenate(x) for x in ((keys, (b.view(np.uint64) * GOLD).view(np.int64)), (nodes, b), (none, a), (none, n))]
+        return pa.record_batch([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], mask=~made), pa.array(columns[3])], names=["key", "node", "other", "n"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, first_node = None, None

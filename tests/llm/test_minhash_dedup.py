@@ -62,6 +62,14 @@ def test_blocks_find_the_same(spark, monkeypatch):
     assert rows(M.near_duplicates(documents(spark, texts)), "doc_id", "n_shingles", "component_id", "kept") == want
 
 
+def test_chunks_agree_on_table_keys(spark):
+    """Which documents meet doesn't depend on how the rows are dealt: copies that lie in chunks of their own do, too."""
+    texts = corpus(11, groups=30, copies=6)
+    sets = cut(M.signed(documents(spark, texts)).where("n > 0").select("did", "sig"))
+    told = [sorted((r.node, r.component) for r in components(M.candidate_pairs(sets.repartition(n, "did"))).collect()) for n in (1, 7, 60)]
+    assert told[0] == told[1] == told[2] and told[0]
+
+
 def test_edges(spark):
     assert M.near_duplicates(documents(spark, [])).count() == 0
     out = rows(M.near_duplicates(documents(spark, [(3, "a b c"), (3, "x y z"), (1, "a b c"), (7, "x y z"), (None, "a b c"), (5, "q")])), "doc_id", "component_id", "kept")

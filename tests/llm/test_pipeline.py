@@ -53,3 +53,21 @@ def test_columns_pass_through(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns and [t for _, t in out.dtypes] == [t for _, t in docs.dtypes], name
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect())
+
+
+def test_empty_tables_and_odd_rows(spark, tmp_path):
+    """Empty documents, labels or benchmark, null ids and texts, repeated rows and further columns go through all stages."""
+    write_tables(spark, str(tmp_path / "full"))
+    empty = {"documents": DOCS, "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet").limit(40).selectExpr("*", "1 AS score", "2 AS n_lines", "3 AS kept", "4 AS dk", "5 AS component")
+    odd = docs.where("doc_id < 3").union(docs.where("doc_id < 3")).union(docs.where("doc_id < 2").selectExpr("CAST(NULL AS LONG)", *docs.columns[1:])).union(docs.where("doc_id < 2").selectExpr("doc_id + 900", "CAST(NULL AS STRING)", *docs.columns[2:]))
+    for missing in ("labels", "benchmark", "documents"):
+        folder = f"{tmp_path}/{missing}"
+        for name, schema in empty.items():
+            df = spark.createDataFrame([], schema) if name == missing else odd if name == "documents" else spark.read.parquet(f"{tmp_path}/full/{name}.parquet")
+            df.write.parquet(f"{folder}/{name}.parquet")
+        got = [r.doc_id for r in corpus_pipeline.run(spark, folder).collect()]
+        if missing == "documents":
+            assert got == []
+        else:
+            assert {900, 901} <= set(got) and (missing == "benchmark" or None in got)
