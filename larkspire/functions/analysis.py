@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 
 BREAKS = r"[^\p{L}\p{N}]+"
 _breaks = regex.compile(BREAKS)
+#: Words of more bytes than this are no words of a text: no query finds them, and they don't count in its length.
+LONGEST = 40
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a query string."""
+    """The words of a query string; one that is too long stays, to be told apart from a query without words."""
     return [w for w in _breaks.split(text.lower()) if w]
 
 
+def too_long(words: list[str]) -> bool:
+    return any(len(w.encode()) > LONGEST for w in words)
+
+
 def padded(text: Column) -> Column:
     return F.concat(F.lit("  "), F.regexp_replace(F.lower(text), BREAKS, "  "), F.lit("  "))
 
@@ -34,6 +40,5 @@ def occurrences(pad: Column, pattern: str) -> Column:
 
 def word_count(text: Column) -> Column:
     """The number of words; 0 for a null."""
-    joined = F.trim(F.regexp_replace(F.lower(text), BREAKS, "  "))
-    gaps = (F.length(joined) - F.length(F.replace(joined, F.lit("  "), F.lit("")))) / F.lit(2)
-    return F.when(F.coalesce(F.length(joined), F.lit(0)) == 0, F.lit(0)).otherwise(gaps.cast("int") + 1)
+    words = F.filter(F.split(F.lower(text), BREAKS), lambda w: (w != "") & (F.octet_length(w) <= LONGEST))
+    return F.coalesce(F.size(words), F.lit(0))

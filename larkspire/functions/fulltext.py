@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspire.functions.analysis import occurrences, padded, phrase_pattern, word_count, words_of
+from larkspire.functions.analysis import occurrences, padded, phrase_pattern, too_long, word_count, words_of
 from larkspire.functions.querylang import AnyOf, Everything, Group, Range, Term
 
 #: Okapi BM25, as published by Robertson and Zaragoza.
@@ -91,7 +91,7 @@ class Compiler:
 
     def _words(self, f: Searchable, node: Term) -> Column:
         words = words_of(node.text)
-        if not words:
+        if not words or too_long(words if not node.prefix else words[:-1]):
             return F.lit(False)
         low = F.lower(f.text)
         # Cheap substring tests first: the exact test on padded words runs where they hold.
@@ -133,15 +133,23 @@ class Compiler:
             words = words_of(node.text) if f.kind == "text" else [node.text]
             if f.kind == "text" and not node.slop and words:  # a phrase counts as one word with its words' summed idf
                 idf = sum(statistics.idf(node.field, w) for w in words)
-                return F.lit(node.boost) * self._bm25(f, node.field, occurrences(f.pad, phrase_pattern(words)), idf, statistics)
+                return F.lit(node.boost) * self._bm25(self.occurring(f, node, words), self.length(f, node.field), idf, statistics.mean_words.get(node.field) or 1.0)
             if f.kind == "string" and words:  # a whole value occurs once and has no length
                 return F.when(self.matches(node), F.lit(node.boost * statistics.idf(node.field, node.text))).otherwise(F.lit(0.0))
         return F.when(self.matches(node), F.lit(float(node.boost))).otherwise(F.lit(0.0))
 
+    def occurring(self, f: Searchable, node: Term, words: list[str]) -> Column:
+        """How often a word, or a phrase, occurs in a document."""
+        return occurrences(f.pad, phrase_pattern(words))
+
+    def length(self, f: Searchable, name: str) -> Column:
+        """The words of a field in a document."""
+        return f.words
+
     @staticmethod
-    def _bm25(f: Searchable, name: str, count: Column, idf: float, statistics: Statistics) -> Column:
-        tf, mean = F.coalesce(count, F.lit(0)).cast("double"), statistics.mean_words.get(name) or 1.0
-        return F.lit(idf) * (tf * F.lit(K1 + 1)) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * f.words / F.lit(mean)))
+    def _bm25(count: Column, length: Column, idf: float, mean: float) -> Column:
+        tf = F.coalesce(count, F.lit(0)).cast("double")
+        return F.lit(idf) * (tf * F.lit(K1 + 1)) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / F.lit(mean)))
 
 
 def scored_words(node, fields: dict[str, str]) -> set[tuple[str, str]]:

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)
 #: Empty buckets are filled in only over at most so many.
 MAX_FILLED = 1_000_000
+#: Columns of _spread(): a value's place among its document's, and the values side by side.
+PLACE, ZIPPED = "__place", "__values"
 UNITS_MS = {"ms": 1, "s": 1000, "m": 60_000, "h": 3_600_000, "d": 86_400_000}
 
 
@@ -34,9 +36,8 @@ def _field(df: DataFrame, spec: dict) -> Column:
 
 def _metric(df: DataFrame, name: str, kind: str, spec: dict) -> list[Column]:
     c = _field(df, spec)
-    listed = isinstance(df.schema[spec["field"]].dataType, T.ArrayType)
-    if listed:
-        c = F.try_element_at(c, F.lit(1))
+    if ZIPPED in df.columns:  # a document's rows are its values: other fields count in the first
+        c = F.col(f"{ZIPPED}.`{spec['field']}`") if _listed(df, spec) else F.when(F.col(PLACE) == 0, c)
     simple: dict[str, Callable[[Column], Column]] = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "value_count": F.count, "count": F.count}
     if kind in simple:
         return [simple[kind](c).alias(name)]
@@ -55,6 +56,20 @@ def _metric(df: DataFrame, name: str, kind: str, spec: dict) -> list[Column]:
     return []
 
 
+def _listed(df: DataFrame, spec: dict) -> bool:
+    return spec.get("field") in df.columns and isinstance(df.schema[spec["field"]].dataType, T.ArrayType)
+
+
+def _spread(df: DataFrame, requests: dict) -> DataFrame:
+    """df with a row for each value if metrics ask for fields of several values: all such fields side by side, each value once."""
+    specs = [(kind, spec) for name, body in requests.items() for kind, spec, _ in [_only(name, body)]]
+    lists = sorted({spec["field"] for kind, spec in specs if kind in METRICS and _listed(df, spec)})
+    if not lists:
+        return df
+    values = [F.array(F.lit(1)).alias(PLACE), *(F.coalesce(F.col(f"`{x}`"), F.array().cast(df.schema[x].dataType)).alias(x) for x in lists)]
+    return df.select("*", F.posexplode(F.arrays_zip(*values)).alias(PLACE, ZIPPED))
+
+
 def _metrics(df: DataFrame, subs: dict) -> list[Column]:
     """Columns of the aggregations under a bucket; those that aren't metrics are null."""
     out = []
@@ -80,8 +95,11 @@ def aggregate(df: DataFrame, request: dict) -> DataFrame:
         raise ValueError("supports only a single top-level aggregation")
     (name, body), *_ = request.items()
     kind, spec, subs = _only(name, body)
+    if not isinstance(spec, dict):
+        raise ValueError(f"aggregation '{name}' needs a request")
     if kind in METRICS:
-        return df.agg(*_metric(df, name, kind, spec))
+        spread = _spread(df, request)
+        return spread.agg(*_metric(spread, name, kind, spec))
     made = {"terms": terms, "histogram": histogram, "date_histogram": date_histogram, "range": ranges}.get(kind)
     if made is None:
         raise ValueError(f"unsupported bucket type '{kind}'")
@@ -89,7 +107,16 @@ def aggregate(df: DataFrame, request: dict) -> DataFrame:
 
 
 def _counted(df: DataFrame, key: str, subs: dict) -> DataFrame:
-    return df.groupBy(key).agg(F.count("*").alias("doc_count"), *_metrics(df, subs))
+    df = _spread(df, subs)
+    documents = F.count_if(F.col(PLACE) == 0) if ZIPPED in df.columns else F.count("*")
+    return df.groupBy(key).agg(documents.alias("doc_count"), *_metrics(df, subs))
+
+
+def _needed(spec: dict, *names: str) -> list:
+    missing = [n for n in names if n not in spec]
+    if missing:
+        raise ValueError(f"the aggregation needs '{missing[0]}'")
+    return [spec[n] for n in names]
 
 
 def terms(df: DataFrame, spec: dict, subs: dict) -> DataFrame:
@@ -98,11 +125,11 @@ def terms(df: DataFrame, spec: dict, subs: dict) -> DataFrame:
     Documents without a value are left out unless `missing` names one for them; of several values each counts once.
     size None gives all buckets.
     """
-    field = spec["field"]
     c = _field(df, spec)
-    if isinstance(df.schema[field].dataType, T.ArrayType):
+    field = spec["field"]
+    if _listed(df, spec):
         # The other columns are kept for metrics; the key stands for one value of each document at a time.
-        rows = df.withColumn("__key", F.explode(F.array_distinct(c)))
+        rows = df.withColumn("__key", F.explode_outer(F.array_distinct(c)))
     else:
         rows = df.withColumn("__key", c)
     if "missing" in spec:
@@ -120,15 +147,26 @@ def terms(df: DataFrame, spec: dict, subs: dict) -> DataFrame:
     return out.withColumnRenamed("__key", field)
 
 
-def histogram(df: DataFrame, spec: dict, subs: dict, value: Column | None = None) -> DataFrame:
+def histogram(df: DataFrame, spec: dict, subs: dict, value: Callable[[Column], Column] = lambda v: v) -> DataFrame:
     """bucket (double, its lower end), doc_count, metrics. With min_doc_count 0 empty buckets between others are there, too."""
-    interval, offset = float(spec["interval"]), float(spec.get("offset", 0))
+    interval, offset = float(_needed(spec, "interval")[0]), float(spec.get("offset", 0))
     if interval <= 0:
         raise ValueError("a histogram needs a positive interval")
-    v = (_field(df, spec) if value is None else value).cast("double")
-    rows = df.withColumn("bucket", F.floor((v - F.lit(offset)) / F.lit(interval)) * F.lit(interval) + F.lit(offset)).where(v.isNotNull() & ~F.isnan(v))
-    if bounds := spec.get("hard_bounds"):
-        rows = rows.where(v.between(F.lit(float(bounds["min"])), F.lit(float(bounds["max"]))))
+
+    def lower_end(v: Column) -> Column:
+        """Null for what has no bucket."""
+        v = v.cast("double")
+        there = v.isNotNull() & ~F.isnan(v)
+        if bounds := spec.get("hard_bounds"):
+            there = there & v.between(F.lit(float(bounds["min"])), F.lit(float(bounds["max"])))
+        return F.when(there, F.floor((v - F.lit(offset)) / F.lit(interval)) * F.lit(interval) + F.lit(offset))
+
+    c = _field(df, spec)
+    if _listed(df, spec):  # a document counts once in each bucket that any of its values is in
+        rows = df.withColumn("bucket", F.explode(F.array_distinct(F.array_compact(F.transform(c, lambda x: lower_end(value(x)))))))
+    else:
+        made = lower_end(value(c))
+        rows = df.withColumn("bucket", made).where(made.isNotNull())
     out = _counted(rows, "bucket", subs)
     if "min_doc_count" in spec and spec["min_doc_count"] == 0:
         ends = out.agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).first()
@@ -154,9 +192,9 @@ def milliseconds(text: str) -> int:
 
 def date_histogram(df: DataFrame, spec: dict, subs: dict) -> DataFrame:
     """As histogram; bucket is the lower end in milliseconds since 1970 as a double."""
-    ms = F.unix_micros(_field(df, spec).cast("timestamp")) / F.lit(1000.0)
     own = {k: v for k, v in spec.items() if k in ("min_doc_count", "hard_bounds", "field")}
-    return histogram(df, own | {"interval": milliseconds(spec["fixed_interval"]), "offset": milliseconds(spec.get("offset", "0ms"))}, subs, ms)
+    interval = milliseconds(_needed(spec, "fixed_interval")[0])
+    return histogram(df, own | {"interval": interval, "offset": milliseconds(spec.get("offset", "0ms"))}, subs, lambda v: F.unix_micros(v.cast("timestamp")) / F.lit(1000.0))
 
 
 def range_key(r: dict) -> str:
@@ -166,17 +204,23 @@ def range_key(r: dict) -> str:
 
 def ranges(df: DataFrame, spec: dict, subs: dict) -> DataFrame:
     """bucket (the range's key), doc_count, metrics, a row for each range, in order: from included, to not; they may overlap."""
-    v = _field(df, spec).cast("double")
-    found = []
-    for i, r in enumerate(spec["ranges"]):
-        inside = v.isNotNull()
+    c, wanted = _field(df, spec), _needed(spec, "ranges")[0]
+
+    def inside(v: Column, r: dict) -> Column:
+        v = v.cast("double")
+        out = v.isNotNull()
         if r.get("from") is not None:
-            inside = inside & (v >= F.lit(float(r["from"])))
+            out = out & (v >= F.lit(float(r["from"])))
         if r.get("to") is not None:
-            inside = inside & (v < F.lit(float(r["to"])))
-        found.append(F.when(inside, F.lit(i)))
+            out = out & (v < F.lit(float(r["to"])))
+        return out
+
+    def holds(r: dict) -> Column:
+        return F.exists(c, lambda v: inside(v, r)) if _listed(df, spec) else inside(c, r)
+
+    found = [F.when(holds(r), F.lit(i)) for i, r in enumerate(wanted)]
     rows = df.withColumn("__range", F.explode(F.array_compact(F.array(*found))))
     out = _counted(rows, "__range", subs)
-    named = df.sparkSession.createDataFrame([(i, range_key(r)) for i, r in enumerate(spec["ranges"])], "__range int, bucket string")
+    named = df.sparkSession.createDataFrame([(i, range_key(r)) for i, r in enumerate(wanted)], "__range int, bucket string")
     joined = named.join(out, "__range", "left").orderBy("__range")  # as many rows as the request has ranges
     return joined.withColumn("doc_count", F.coalesce("doc_count", F.lit(0))).drop("__range")

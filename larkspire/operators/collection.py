@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from dataclasses import replace
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql import types as T
 
 from larkspire.functions.analysis import padded, phrase_pattern, word_count
 from larkspire.functions.fulltext import Compiler, Searchable, Statistics, scored_words
-from larkspire.functions.querylang import leaves, parse
+from larkspire.functions.querylang import Group, leaves, parse, replaced
 from larkspire.plans.canonical import coerced, explicit_schema, infer_schema
-from larkspire.plans.fields import DOC_ID, DOCUMENT, SCORE, SEGMENT, SPLIT, SplitSpec, TableSpec
+from larkspire.plans.fields import DOC_ID, DOCUMENT, SCORE, SEGMENT, SPLIT, FieldSpec, SplitSpec, TableSpec
+from larkspire.sources.index import DOC_KEY, Index
 from larkspire.sources.splits import open_split, read_split
 
 #: Columns of this prefix hold a split's raw field, or prepared text, for full_text; they are never shown.
@@ -51,10 +53,13 @@ class Collection:
         self.splits = [open_split(spark, s) for s in splits]
         self.explicit = schema
         self.schema = explicit_schema(schema, self.splits) if schema is not None else infer_schema(self.splits)
-        self.kinds = {f.name: f.kind for s in self.splits for f in s.fields}
+        self.variants = _variants(self.splits)
+        #: The kind of every searchable variant of a field.
+        self.kinds = {v: k for found in self.variants.values() for k, v in found.items()}
         self._parts: list[DataFrame] | None = None
         self._prepared: DataFrame | None = None
         self._statistics: dict = {}
+        self.index: Index | None = None
 
     def spec(self) -> TableSpec:
         return TableSpec(self.name, tuple(self.splits), self.explicit)
@@ -68,9 +73,19 @@ class Collection:
     def table_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(SCORE, T.FloatType()), T.StructField(DOCUMENT, T.StringType())])
 
-    def _raw_type(self, name: str) -> T.DataType | None:
+    def _own(self, split: SplitSpec, variant: str) -> FieldSpec | None:
+        """A split's field, if it has that variant of it."""
+        name, kind = self._names[variant], self.kinds[variant]
+        own = split.field(name)
+        return own if own is not None and (len(self.variants[name]) == 1 or (own.kind == "text") == (kind == "text")) else None
+
+    @cached_property
+    def _names(self) -> dict[str, str]:
+        return {v: name for name, found in self.variants.items() for v in found.values()}
+
+    def _raw_type(self, variant: str) -> T.DataType | None:
         """The common type of a field in all splits that have it: lists only if one has lists."""
-        types = [s.field(name).type for s in self.splits if s.field(name)]
+        types = [own.type for s in self.splits if (own := self._own(s, variant))]
         inner = {t.elementType if isinstance(t, T.ArrayType) else t for t in types}
         if len(inner) > 1:
             return None
@@ -92,20 +107,21 @@ class Collection:
                 columns.append(coerced(F.col(f"`{f.name}`"), split.field(f.name), f.dataType).alias(f.name))
         columns += [F.col(DOCUMENT), F.lit(split.split_id).alias(SPLIT)]
         for name in self.kinds:
-            kind, own = self._raw_type(name), split.field(name)
+            kind, own = self._raw_type(name), self._own(split, name)
             if kind is not None:
-                value = F.lit(None) if own is None else F.col(f"`{name}`")
+                value = F.lit(None) if own is None else F.col(f"`{own.name}`")
                 if own is not None and isinstance(kind, T.ArrayType) and not own.multi:
                     value = F.when(value.isNotNull(), F.array(value))
                 columns.append(value.cast(kind).alias(RAW + name))
         return df.select(*columns)
 
-    def materialize(self) -> DataFrame:
-        """Keep the table, with its texts in padded form and their word counts, for many queries on it."""
+    def materialize(self, partitions: int | None = None) -> DataFrame:
+        """Keep the table, with its texts in padded form and their word counts, for many queries on it.
+
+        partitions: deals the rows anew, where a few large files would keep most cores idle in every query.
+        """
         if self._prepared is None:
-            df, wanted = self.frame(), self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < wanted:  # a few large files would keep most cores idle in every query
-                df = df.repartition(wanted)
+            df = self.frame() if partitions is None else self.frame().repartition(partitions)
             texts = {n: F.array_join(RAW + n, "\n") if isinstance(self._raw_type(n), T.ArrayType) else F.col(RAW + n) for n, k in self.kinds.items() if k == "text"}
             df = df.select("*", *(padded(t).alias(PAD + n) for n, t in texts.items()), *(word_count(t).alias(WORDS + n) for n, t in texts.items()))
             self._prepared = df.persist()
@@ -118,8 +134,14 @@ class Collection:
 
     @cached_property
     def searchable_names(self) -> frozenset[str]:
+        """Variants that can be searched."""
         return frozenset(n for n in self.kinds if self._raw_type(n) is not None)
 
+    @cached_property
+    def field_names(self) -> frozenset[str]:
+        """Names that full_text takes."""
+        return frozenset(name for name, found in self.variants.items() if set(found.values()) <= self.searchable_names)
+
     def searchable(self) -> Mapping[str, Searchable]:
         """For compiling queries against frame(); a field that a split lacks is null there and so matches nothing."""
         return _Fields(self)
@@ -128,15 +150,32 @@ class Collection:
         return Compiler(self.searchable())
 
     def parse(self, field: str, query: str):
-        """The tree of a query on a field, whose own and named fields all exist."""
-        known = self.searchable_names
+        """The tree of a query on a field, whose own and named fields all exist.
+
+        A field that is text in one split and a whole value in another is searched as what it is in each.
+        """
+        known = self.field_names
         if field not in known:
             raise ValueError(f"full_text: field '{field}' not found in any split")
         node = parse(query, field)
         for leaf in leaves(node):
             if getattr(leaf, "field", field) not in known:
                 raise ValueError(f"full_text: field '{leaf.field}' not found in any split")
-        return node
+
+        def variants(leaf):
+            found = list(self.variants[leaf.field].values())
+            return leaf if found == [leaf.field] else Group(should=tuple(replace(leaf, field=v) for v in found))
+
+        return replaced(node, variants)
+
+    def searched(self, nodes: list, columns: list[str], scored: bool) -> DataFrame:
+        """frame() with a match column for each query and their summed score, by the index if there is one that can tell."""
+        df, compiler, score = self.frame(), self.compiler(), None
+        if self.index is not None and nodes:
+            hits, compiler, score = self.index.hits(self, nodes, scored)
+            df = df.join(hits, list(DOC_KEY), "left")
+        score = score if score is not None else self.score_column(nodes if scored else [])
+        return df.withColumns({n: compiler.matches(x) for n, x in zip(columns, nodes)} | {SCORE: score})
 
     def statistics(self, nodes: list) -> Statistics:
         """What the scores of these queries need, from one aggregate over the fields that they name; each number is asked for once."""
@@ -159,12 +198,36 @@ class Collection:
         got = self._statistics
         return Statistics(got[("documents",)], {f: got[("words", f)] or 0.0 for f in texts}, {(f, w): got[("holding", f, w)] for f, w in words})
 
-    def score_column(self, nodes: list) -> Column:
+    def score_column(self, nodes: list, compiler: Compiler | None = None, statistics: Statistics | None = None) -> Column:
         """The sum of the queries' scores; null without any query."""
         if not nodes:
             return F.lit(None).cast("float")
-        compiler, statistics = self.compiler(), self.statistics(nodes)
+        compiler, statistics = compiler or self.compiler(), statistics or self.statistics(nodes)
         total = compiler.score(nodes[0], statistics)
         for n in nodes[1:]:
             total = total + compiler.score(n, statistics)
         return total.cast("float")
+
+    def refresh(self) -> None:
+        """Read the splits' files anew, and forget what is known of the old ones."""
+        self.release()
+        self._parts, self._statistics, self.index = None, {}, None
+
+
+def _variants(splits: list[SplitSpec]) -> dict[str, dict[str, str]]:
+    """For each field its kinds as queries see them, with the name of each: text, and whole values of any type.
+
+    A field that is both, in different splits, has two variants with names of their own.
+    """
+    found: dict[str, dict[str, str]] = {}
+    for s in splits:
+        for f in s.fields:
+            found.setdefault(f.name, {})["text" if f.kind == "text" else f.kind] = f.name
+    for name, kinds in found.items():
+        values = [k for k in kinds if k != "text"]
+        if len(values) > 1:  # the types decide whether these go together
+            for k in values[1:]:
+                kinds.pop(k)
+        if len(kinds) > 1:
+            found[name] = {k: f"{name}__{k}" for k in kinds}
+    return found

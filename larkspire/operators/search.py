@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspire.operators.collection import Collection
+from larkspire.plans.filters import condition
 from larkspire.plans.fields import SCORE
 
 
@@ -17,7 +18,7 @@ class Search:
 
     collection: Collection
     clauses: tuple[tuple[str, str], ...] = ()
-    filters: tuple[str | Column, ...] = ()
+    filters: tuple[str | Column | dict, ...] = ()
     columns: tuple[str, ...] | None = None
     top: int | None = None
     ties: tuple[str, ...] = ()
@@ -27,8 +28,11 @@ class Search:
         self.collection.parse(field, query)  # a bad query or field is told at once
         return replace(self, clauses=(*self.clauses, (field, query)))
 
-    def where(self, condition: str | Column) -> Search:
-        return replace(self, filters=(*self.filters, condition))
+    def where(self, filter_: str | Column | dict) -> Search:
+        """A SQL condition, a column, or a typed filter {field, op, value, value_type} as plans/filters.py has them."""
+        if isinstance(filter_, dict):
+            condition(filter_)  # a bad one is told at once
+        return replace(self, filters=(*self.filters, filter_))
 
     def select(self, *columns: str) -> Search:
         return replace(self, columns=columns)
@@ -42,24 +46,23 @@ class Search:
 
     def frame(self) -> DataFrame:
         c = self.collection
-        nodes, compiler = [c.parse(f, q) for f, q in self.clauses], c.compiler()
-        df = c.frame()
-        for n in nodes:
-            df = df.where(compiler.matches(n))
+        nodes, columns = [c.parse(f, q) for f, q in self.clauses], [f"__match_{i}" for i in range(len(self.clauses))]
         wanted = list(self.columns or c.public)
         scored = nodes and (SCORE in wanted or self.top is not None or any(SCORE in str(f) for f in self.filters))
-        df = df.withColumn(SCORE, c.score_column(nodes if scored else []))
+        df = c.searched(nodes, columns, bool(scored))
+        for x in columns:
+            df = df.where(F.col(x))
         for f in self.filters:
-            df = df.where(f)
+            df = df.where(condition(f))
         if self.top is not None:
             df = df.orderBy(F.desc_nulls_last(SCORE), *self.ties).limit(self.top)
         df = df.select(*wanted)
         return df if self.rows is None else df.limit(self.rows)
 
     def to_dict(self) -> dict:
-        """The query for another session, with its table: SearchEngine.search() takes it. Filters must be SQL text."""
-        if any(not isinstance(f, str) for f in self.filters):
-            raise ValueError("a query with column expressions as filters can't be written down; use SQL text")
+        """The query for another session, with its table: SearchEngine.search() takes it. Filters must be SQL text or typed."""
+        if any(not isinstance(f, (str, dict)) for f in self.filters):
+            raise ValueError("a query with column expressions as filters can't be written down; use SQL text or typed filters")
         return {
             "table": self.collection.spec().to_dict(),
             "full_text": [list(c) for c in self.clauses],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from larkspire.engine import SearchEngine
 from larkspire.plans.fields import FieldSpec, SplitSpec
+from larkspire.plans.filters import typed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -198,6 +201,63 @@ def fts_two_blocks(spark, sf_dir):
     return e.sql("SELECT a.doc_id AS doc_id, b.n AS n FROM documents a JOIN (SELECT lang, count(*) AS n FROM documents WHERE full_text(text, 'of') GROUP BY lang) b ON a.lang = b.lang WHERE full_text(a.text, 'ado')")
 
 
+# Scores under *, through CTEs and subqueries
+
+
+@query(f"{corpus()} SELECT doc_id, {bm25('aich')} AS score, n_chars FROM d WHERE contains(pad, ' aich ')")
+def fts_star(spark, sf_dir):
+    found = engine(spark, sf_dir, "documents").sql("SELECT * FROM documents WHERE full_text(text, 'aich')")
+    return found.selectExpr("doc_id", SCORE, "n_chars")
+
+
+@query(f"{corpus()} SELECT doc_id, {bm25('ado', 'aile')} AS score FROM d WHERE contains(pad, ' ado ') OR contains(pad, ' aile ') ORDER BY score DESC, doc_id LIMIT 8")
+def fts_cte_score(spark, sf_dir):
+    return engine(spark, sf_dir, "documents").sql(f"WITH c AS (SELECT * FROM documents WHERE full_text(text, 'ado aile')) SELECT doc_id, {SCORE} FROM c ORDER BY score DESC, doc_id LIMIT 8")
+
+
+@query(f"{corpus()} SELECT doc_id, {bm25('aien')} AS score FROM d WHERE contains(pad, ' aien ') AND n_chars > 300")
+def fts_subquery(spark, sf_dir):
+    e = SearchEngine(spark)
+    e.register("documents", [SplitSpec("all", path(sf_dir, "documents"), tuple(FieldSpec(f.name, f.kind, stored=f.stored) for f in DOC_FIELDS))])
+    return e.sql(f"SELECT doc_id, {SCORE} FROM (SELECT * FROM documents WHERE n_chars > 300) x WHERE full_text(x.text, 'aien')")
+
+
+@query("SELECT lang, count(*) AS n FROM documents WHERE n_chars > 800 GROUP BY lang")
+def cte_shadows(spark, sf_dir):
+    return engine(spark, sf_dir, "documents", "labels").sql("WITH labels AS (SELECT lang FROM documents WHERE n_chars > 800) SELECT lang, count(*) AS n FROM labels GROUP BY lang")
+
+
+# The index
+
+
+def _indexed(spark, sf_dir) -> SearchEngine:
+    e = engine(spark, sf_dir, "documents")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    e.build_index("documents", f"{folder.rstrip('/')}/larkspire-index/{uuid.uuid4().hex}")
+    return e
+
+
+def _fts_indexed(name: str, text: str, condition: str, score: str | None = None):
+    def run(spark, sf_dir):
+        return _indexed(spark, sf_dir).sql(f"SELECT doc_id, {SCORE if score else 'n_chars'} FROM documents WHERE full_text(text, '{text}')")
+
+    run.__name__ = name
+    query(f"{corpus()} SELECT doc_id, {score} AS score FROM d WHERE {condition}" if score else f"SELECT doc_id, n_chars FROM documents WHERE {condition}")(run)
+
+
+_fts_indexed("index_term", "aich", has("aich"))
+_fts_indexed("index_group", "+(aich OR aile) -the", f"({has('aich')} OR {has('aile')}) AND NOT {has('the')}")
+_fts_indexed("index_phrase", '"of the"', has("of the"))
+_fts_indexed("index_prefix", "aic* lang:de", f"contains({pad()}, ' aic') OR lang = 'de'")
+_fts_indexed("index_score", "aich aile", "contains(pad, ' aich ') OR contains(pad, ' aile ')", bm25("aich", "aile"))
+_fts_indexed("index_phrase_score", '"of the"', "contains(pad, ' of  the ')", bm25("of the"))
+
+
+@query(f"{corpus()} SELECT doc_id, n_chars, {bm25('aich', 'aile')} AS score, '{{\"doc_id\":[' || doc_id || '],\"lang\":[\"' || lang || '\"]}}' AS document FROM d WHERE (contains(pad, ' aich ') OR contains(pad, ' aile ')) AND n_chars > 500 ORDER BY score DESC, doc_id LIMIT 10")
+def flagship_indexed(spark, sf_dir):
+    return _indexed(spark, sf_dir).sql(f"SELECT doc_id, n_chars, {SCORE}, _document AS document FROM documents WHERE full_text(text, 'aich aile') AND n_chars > 500 ORDER BY score DESC, doc_id LIMIT 10")
+
+
 # Deleted documents
 
 
@@ -284,6 +344,74 @@ def split_group(spark, sf_dir):
     return _halves(spark, sf_dir, "event_id; event_type; value", "event_id; event_type; value", "events", "event_id").sql("SELECT event_type, count(*) AS n, round(avg(value), 4) AS mean FROM t GROUP BY event_type")
 
 
+@query(f"SELECT doc_id FROM documents WHERE CASE WHEN doc_id % 2 = 0 THEN {has('de', 'lang')} ELSE source = 'de' OR lang = 'de' END")
+def split_kinds(spark, sf_dir):
+    """A field that is text in one split and a whole value in the other."""
+    df, e = spark.read.parquet(path(sf_dir, "documents")), SearchEngine(spark)
+    key = FieldSpec("doc_id", "i64")
+    e.register("t", [SplitSpec("words", df.where("doc_id % 2 = 0").selectExpr("doc_id", "lang AS tag"), (key, FieldSpec("tag", "text"))), SplitSpec("values", df.where("doc_id % 2 = 1").selectExpr("doc_id", "lang AS tag"), (key, FieldSpec("tag", "string")))])
+    return e.sql("SELECT doc_id FROM t WHERE full_text(tag, 'de')")
+
+
+@query("SELECT count(*) AS n, count(DISTINCT doc_id) AS documents, CAST(2 AS BIGINT) AS segments, true AS addressed FROM documents")
+def doc_ordinals_many_files(spark, sf_dir):
+    """Two copies of a folder whose files have the same names: every row has an address of its own."""
+    e = SearchEngine(spark)
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_larkspire_ordinals/{uuid.uuid4().hex}"
+    df = spark.read.parquet(path(sf_dir, "documents")).select("doc_id", "lang")
+    for i in (0, 1):
+        df.where(f"doc_id % 2 = {i}").coalesce(1).write.parquet(f"{folder}/half={i}")
+    e.register("t", [SplitSpec("all", folder)])
+    return e.sql("SELECT count(*) AS n, count(DISTINCT doc_id) AS documents, count(DISTINCT _segment_ord) AS segments, count(DISTINCT struct(_segment_ord, _doc_id)) = count(*) AS addressed FROM t")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 2 = 0 AND value IS NULL OR event_id < 0")
+def split_nowhere_filter(spark, sf_dir):
+    """A filter on a field that no split has."""
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("nowhere", T.DoubleType())])
+    return _halves(spark, sf_dir, "event_id; value", "event_id; user_id", "events", "event_id", schema).sql("SELECT event_id FROM t WHERE nowhere > 0")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id BETWEEN 100 AND 149")
+def doc_id_range(spark, sf_dir):
+    return engine(spark, sf_dir, "documents").sql("SELECT doc_id FROM documents WHERE _segment_ord = 0 AND _doc_id BETWEEN 100 AND 149")
+
+
+@query("SELECT count(*) AS n, true AS inside FROM (SELECT 1 FROM documents WHERE n_chars > 200 LIMIT 9)")
+def row_limit(spark, sf_dir):
+    found = engine(spark, sf_dir, "documents").table("documents").where("n_chars > 200").select("n_chars").limit(9).frame()
+    return found.agg(F.count("*").alias("n"), F.min(F.col("n_chars") > 200).alias("inside"))
+
+
+@query("SELECT event_id FROM events WHERE event_id::HUGEINT + 18446744073709541615 > 18446744073709550000")
+def filter_u64big(spark, sf_dir):
+    df = spark.read.parquet(path(sf_dir, "events")).selectExpr("event_id", "CAST(CAST(event_id AS DECIMAL(20, 0)) + 18446744073709541615 AS DECIMAL(20, 0)) AS big")
+    e = SearchEngine(spark)
+    e.register("t", [df])
+    return e.sql("SELECT event_id FROM t WHERE big > 18446744073709550000")
+
+
+@query("SELECT event_id, '10.0.' || user_id % 200 || '.' || event_id % 250 AS host FROM events WHERE user_id % 200 = 7 AND event_id % 250 = 33")
+def filter_ip(spark, sf_dir):
+    df = spark.read.parquet(path(sf_dir, "events")).selectExpr("event_id", "'::ffff:10.0.' || user_id % 200 || '.' || event_id % 250 AS host")
+    e = SearchEngine(spark)
+    e.register("t", [SplitSpec("a", df, (FieldSpec("event_id", "i64"), FieldSpec("host", "ip")))])
+    return e.sql("SELECT event_id, host FROM t WHERE host = '10.0.7.33'")
+
+
+@query("SELECT event_id FROM events WHERE event_type = 'click'")
+def filter_bytes(spark, sf_dir):
+    e = SearchEngine(spark)
+    e.register("t", [spark.read.parquet(path(sf_dir, "events")).selectExpr("event_id", "CAST(event_type AS BINARY) AS mark")])
+    return e.sql("SELECT event_id FROM t WHERE mark = X'636C69636B'")
+
+
+@query("SELECT event_id FROM events WHERE value >= 40.5 AND user_id < 50 AND event_type <> 'click'")
+def filter_typed(spark, sf_dir):
+    search = engine(spark, sf_dir, "events").table("events").where(typed("value", "gte", 40.5)).where(typed("user_id", "lt", 50, "u16")).where(typed("event_type", "neq", "click")).select("event_id")
+    return SearchEngine(spark).search(json.loads(json.dumps(search.to_dict()))).frame()
+
+
 @query("SELECT doc_id, n_chars FROM documents WHERE n_chars > 1000")
 def spec_roundtrip(spark, sf_dir):
     spec = engine(spark, sf_dir, "documents").collection("documents").spec().to_dict()
@@ -328,9 +456,19 @@ _same("metric_only", ("events",), "SELECT round(avg(value), 5) AS mean FROM even
 _same("order_limit", ("orders",), "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
 _same("join_inner", ("orders", "customer"), "SELECT c_mktsegment, count(*) AS n, round(sum(o_totalprice), 1) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment")
 _same("join_left", ("customer", "orders"), "SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+_same("join_right", ("customer", "orders"), "SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON o_custkey = c_custkey AND o_totalprice > 350000")
+_same("join_full", ("supplier", "customer"), "SELECT s_suppkey, c_custkey FROM (SELECT * FROM supplier WHERE s_acctbal > 0) a FULL JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) b ON s_suppkey = c_custkey")
+_same("join_theta", ("nation", "region"), "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey < r_regionkey AND n_nationkey > 3")
+_same("join_broadcast", ("customer", "nation"), "SELECT /*+ BROADCAST(nation) */ n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name", "SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
 _same("join_semi", ("customer", "orders"), "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 _same("join_anti", ("customer", "orders"), "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 _same("rollup", ("lineitem",), "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
+_same("grouping_sets", ("lineitem",), "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())")
+_same("intersect_all", ("customer", "supplier"), "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier")
+_same("except_all", ("customer", "supplier"), "SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier")
+_same("except_some", ("orders", "customer"), "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 100000")
+_same("window_rank", ("orders",), "SELECT o_orderkey, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS r, dense_rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS d, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders", "SELECT o_orderkey, CAST(rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS INTEGER) AS r, CAST(dense_rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS INTEGER) AS d, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders")
+_same("window_sum", ("events",), "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS n, max(value) OVER (PARTITION BY user_id ORDER BY event_id) AS top FROM events")
 _same("cube", ("orders",), "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
 _same("intersect", ("customer", "supplier"), "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
 _same("except", ("part", "lineitem"), "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem")
@@ -366,11 +504,29 @@ _request("range_buckets", "events", {"r": {"range": {"field": "value", "ranges":
 _request("stats", "lineitem", {"s": {"stats": {"field": "l_extendedprice"}}}, "SELECT min(l_extendedprice) AS s_min, max(l_extendedprice) AS s_max, round(sum(l_extendedprice), 1) AS s_sum, count(l_extendedprice) AS s_count, round(avg(l_extendedprice), 4) AS s_avg FROM lineitem", ("s_min", "s_max", "round(s_sum, 1) AS s_sum", "s_count", "round(s_avg, 4) AS s_avg"))
 _request("extended_stats", "lineitem", {"s": {"extended_stats": {"field": "l_quantity"}}}, "SELECT min(l_quantity) AS s_min, max(l_quantity) AS s_max, round(sum(l_quantity), 1) AS s_sum, count(l_quantity) AS s_count, round(avg(l_quantity), 6) AS s_avg, round(var_pop(l_quantity), 6) AS variance, round(stddev_pop(l_quantity), 6) AS deviation FROM lineitem", ("s_min", "s_max", "round(s_sum, 1) AS s_sum", "s_count", "round(s_avg, 6) AS s_avg", "round(s_variance_population, 6) AS variance", "round(s_std_deviation_population, 6) AS deviation"))
 _request("percentiles", "lineitem", {"p": {"percentiles": {"field": "l_quantity", "percents": [1, 50, 99.5], "exact": True}}}, 'SELECT quantile_cont(l_quantity, 0.01) AS p_p1, quantile_cont(l_quantity, 0.5) AS p_p50, quantile_cont(l_quantity, 0.995) AS p_p995 FROM lineitem', ("p_p1", "p_p50", "`p_p99.5` AS p_p995"))
+_request("metric_avg", "events", {"m": {"avg": {"field": "value"}}}, "SELECT round(avg(value), 5) AS m FROM events", ("round(m, 5) AS m",))
+_request("metric_sum", "events", {"m": {"sum": {"field": "user_id"}}}, "SELECT CAST(sum(user_id) AS BIGINT) AS m FROM events")
+_request("metric_min", "events", {"m": {"min": {"field": "value"}}}, "SELECT min(value) AS m FROM events")
+_request("metric_max", "events", {"m": {"max": {"field": "value"}}}, "SELECT max(value) AS m FROM events")
+_request("metric_count", "events", {"m": {"value_count": {"field": "value"}}}, "SELECT count(value) AS m FROM events")
+_request("bucket_under_bucket", "events", {"t": {"terms": {"field": "event_type"}, "aggs": {"deeper": {"terms": {"field": "user_id"}}}}}, "SELECT event_type, count(*) AS doc_count, NULL::DOUBLE AS deeper FROM events GROUP BY event_type")
+_request("percentiles_under_bucket", "events", {"t": {"terms": {"field": "event_type"}, "aggs": {"p": {"percentiles": {"field": "value", "percents": [50], "exact": True}}}}}, "SELECT event_type, count(*) AS doc_count, round(quantile_cont(value, 0.5), 6) AS p_p50 FROM events GROUP BY event_type", ("event_type", "doc_count", "round(p_p50, 6) AS p_p50"))
+_request("histogram_multi_valued", "embeddings", {"h": {"histogram": {"field": "embedding", "interval": 0.5}, "aggs": {"n": {"value_count": {"field": "embedding"}}, "l": {"sum": {"field": "label"}}}}}, "WITH v AS (SELECT vec_id, label, len(embedding) AS n, unnest(list_distinct(list_transform(embedding, lambda x: floor(x::DOUBLE / 0.5) * 0.5))) AS bucket FROM embeddings) SELECT bucket, count(*) AS doc_count, CAST(sum(n) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS l FROM v GROUP BY bucket")
+_request("range_multi_valued", "embeddings", {"r": {"range": {"field": "embedding", "ranges": [{"to": -0.5}, {"from": -0.5, "to": 0.25}, {"from": 0.25}]}}}, "SELECT '*--0.5' AS bucket, count(*) FILTER (WHERE list_min(embedding) < -0.5) AS doc_count FROM embeddings UNION ALL SELECT '-0.5-0.25', count(*) FILTER (WHERE len(list_filter(embedding, lambda x: x >= -0.5 AND x < 0.25)) > 0) FROM embeddings UNION ALL SELECT '0.25-*', count(*) FILTER (WHERE list_max(embedding) >= 0.25) FROM embeddings")
+_request("stats_multi_valued", "embeddings", {"s": {"stats": {"field": "embedding"}}}, "SELECT min(x) AS s_min, max(x) AS s_max, round(sum(x), 4) AS s_sum, count(x) AS s_count, round(avg(x), 6) AS s_avg FROM (SELECT unnest(embedding)::DOUBLE AS x FROM embeddings)", ("s_min", "s_max", "round(s_sum, 4) AS s_sum", "s_count", "round(s_avg, 6) AS s_avg"))
 _request("percentiles_approx", "lineitem", {"p": {"percentiles": {"field": "l_extendedprice"}}}, None)
 _request("cardinality", "lineitem", {"c": {"cardinality": {"field": "l_partkey", "exact": True}}}, "SELECT count(DISTINCT l_partkey) AS c FROM lineitem")
 _request("cardinality_approx", "lineitem", {"c": {"cardinality": {"field": "l_partkey"}}}, None)
 
 
+@query("SELECT event_type, count(*) AS doc_count, max(value) AS top FROM events WHERE event_id % 2 = 0 OR user_id < 100 GROUP BY event_type")
+def request_over_splits(spark, sf_dir):
+    """A request over two splits, one with deleted documents."""
+    df, e = spark.read.parquet(path(sf_dir, "events")), SearchEngine(spark)
+    e.register("t", [SplitSpec("even", df.where("event_id % 2 = 0")), SplitSpec("odd", df.where("event_id % 2 = 1"), deleted="user_id >= 100")])
+    return e.aggregate("t", {"t": {"terms": {"field": "event_type"}, "aggs": {"top": {"max": {"field": "value"}}}}})
+
+
 @query(f"SELECT lang, count(*) AS doc_count FROM documents WHERE {has('of the')} GROUP BY lang")
 def materialized(spark, sf_dir):
     e = engine(spark, sf_dir, "documents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from larkspire.plans.fields import DOC_ID, DOCUMENT, KINDS, SEGMENT, FieldSpec,
 
 #: In a column from monotonically_increasing_id() the partition stands above so many bits.
 PARTITION_BITS = 33
+FILE = "__larkspire_file"
 
 
 def open_split(spark: SparkSession, split: SplitSpec) -> SplitSpec:
@@ -23,14 +26,19 @@ def open_split(spark: SparkSession, split: SplitSpec) -> SplitSpec:
 def _placed(spark: SparkSession, split: SplitSpec) -> DataFrame:
     """The split's columns with _doc_id (place in its segment) and _segment_ord (number of the file or partition).
 
-    A DataFrame that has these columns keeps them.
+    Files are numbered in the order of their full paths. The numbers come by a join with the table of files, which Catalyst
+    leaves out of plans that don't use them, as it knows that a path is there once. A DataFrame that has these columns keeps
+    them.
     """
     if isinstance(split.source, str):
         df = spark.read.parquet(split.source)
-        names = sorted({p.rsplit("/", 1)[-1] for p in df.inputFiles()})
-        own = F.col("_metadata.file_name")
-        segment = F.lit(0) if len(names) < 2 else F.array_position(F.lit(names), own) - 1
-        return df.select("*", F.col("_metadata.row_index").alias(DOC_ID), segment.cast("int").alias(SEGMENT))
+        paths = sorted({re.sub("^([^:/]+):/+", "\\1:/", p) for p in df.inputFiles()})  # file:/x and file:///x are the same
+        own = F.regexp_replace("_metadata.file_path", "^([^:/]+):/+", "$1:/")
+        df = df.select("*", F.col("_metadata.row_index").alias(DOC_ID), own.alias(FILE))
+        if len(paths) < 2:
+            return df.withColumn(SEGMENT, F.lit(0)).drop(FILE)
+        files = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], f"{FILE} string, {SEGMENT} int").groupBy(FILE).agg(F.min(SEGMENT).alias(SEGMENT))
+        return df.join(files, FILE, "left").drop(FILE)
     df = split.source
     if DOC_ID in df.columns:
         return df if SEGMENT in df.columns else df.withColumn(SEGMENT, F.lit(0))
@@ -38,6 +46,13 @@ def _placed(spark: SparkSession, split: SplitSpec) -> DataFrame:
     return df.withColumns({DOC_ID: place.bitwiseAND(F.lit((1 << PARTITION_BITS) - 1)), SEGMENT: F.shiftright(place, PARTITION_BITS).cast("int")})
 
 
+def files_state(spark: SparkSession, split: SplitSpec) -> str:
+    """A fingerprint of the files of a split that is named by a path: their names, sizes and times."""
+    meta = spark.read.parquet(split.source).select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"), F.col("_metadata.file_modification_time").alias("t")).distinct()
+    row = meta.agg(F.count("*").alias("n"), F.sum(F.xxhash64("p", "s", "t").cast("decimal(38,0)")).alias("h")).first()
+    return f"{row['n']}:{row['h']}"
+
+
 def _without_deleted(df: DataFrame, split: SplitSpec) -> DataFrame:
     if split.deleted:
         df = df.where(~F.coalesce(F.expr(split.deleted), F.lit(False)))

@@ -7,22 +7,22 @@ from larkspire.plans.fields import FieldSpec, SplitSpec
 
 EPOCH = datetime(1970, 1, 1)
 STD = [
-    (1, 10, 1.5, True, "electronics", 1, "192.168.1.1", b"aaa"),
-    (2, 20, 2.5, False, "books", 2, "10.0.0.1", b"bbb"),
-    (3, 30, 3.5, True, "electronics", 3, "192.168.1.2", b"ccc"),
-    (4, 40, 4.5, False, "books", 4, "10.0.0.2", b"ddd"),
-    (5, 50, 5.5, True, "clothing", 5, "172.16.0.1", b"eee"),
+    (1, 7, 0.5, True, "heron", 1, "198.51.100.1", b"a1"),
+    (2, 14, 4.0, False, "otter", 2, "203.0.113.5", b"b2"),
+    (3, 14, 2.0, True, "heron", 3, "198.51.100.2", b"c3"),
+    (4, 28, 8.0, False, "otter", 4, "203.0.113.9", b"d4"),
+    (5, 90, 16.0, True, "badger", 5, "192.0.2.44", b"e5"),
 ]
-SCHEMA = "id long, score long, price double, active boolean, category string, created_at timestamp_ntz, ip_address string, data binary"
+SCHEMA = "id long, height long, weight double, tame boolean, kind string, seen timestamp_ntz, host string, mark binary"
 FIELDS = (
     FieldSpec("id", "u64", stored=True),
-    FieldSpec("score", "i64"),
-    FieldSpec("price", "f64"),
-    FieldSpec("active", "bool"),
-    FieldSpec("category", "text", stored=True),
-    FieldSpec("created_at", "date"),
-    FieldSpec("ip_address", "ip"),
-    FieldSpec("data", "bytes"),
+    FieldSpec("height", "i64"),
+    FieldSpec("weight", "f64"),
+    FieldSpec("tame", "bool"),
+    FieldSpec("kind", "text", stored=True),
+    FieldSpec("seen", "date"),
+    FieldSpec("host", "ip"),
+    FieldSpec("mark", "bytes"),
 )
 
 
