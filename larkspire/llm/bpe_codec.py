@@ -1,7 +1,8 @@
 """BPE encoding and decoding with tree concatenation, for `tokenizers` files of a BPE model.
 
-White space never survives pre-tokenisation here, so a text is cut at spaces and newlines and each stretch is encoded by
-itself; stretches are remembered in a bounded table. A long stretch is unsplit text: it is normalised and pre-tokenised,
+Where white space never survives pre-tokenisation (the file's steps are compared with the known ones; other files are left
+to the library, whole text by whole text), a text is cut at spaces and newlines and each stretch is encoded by itself;
+stretches are remembered in a table bounded in bytes. A long stretch is unsplit text: it is normalised and pre-tokenised,
 and each long pre-token is encoded as a tree. Halves are encoded independently (the leaves in parallel threads), and two
 neighbours are joined by re-encoding a window around the seam that grows until its first and last token agree with the
 tokens already there. Merging is deterministic by (rank, place), so a token row is the encoding of its text exactly if
@@ -13,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -23,17 +24,38 @@ from pyspark.sql import functions as F
 
 from larkspire.llm.common import map_chunks
 
-MEMO_ENTRIES = 250_000
+#: Bytes, about, that each of the two tables of remembered stretches and pre-tokens may take.
+MEMO_BYTES = 24 << 20
+#: What an entry takes besides its characters and ids.
+ENTRY_BYTES = 190
 #: The vocabulary file's own pattern of pre-tokens, and the characters for which cutting by it here is exact: below this
 #: one, text is in composed form already and lower case depends on no neighbour.
 PLAIN_BELOW = "\u0250"
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-#: Stretches up to this many characters are encoded in one call.
+#: Stretches up to this many characters are encoded in one call, and remembered.
 LONG_CHARS = 512
 #: Characters in a leaf of the tree.
 LEAF_CHARS = 256
 
 
+class Memo(dict):
+    """Ids as bytes by string; emptied when its entries take more than MEMO_BYTES."""
+
+    size = 0
+
+    def remember(self, key: str, ids: bytes) -> None:
+        self[key] = ids
+        self.size += ENTRY_BYTES + len(key) + len(ids)
+
+    def clear(self) -> None:
+        super().clear()
+        self.size = 0
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class TreeCodec:
     """Encodes as `Tokenizer.encode(text, add_special_tokens=False)` and decodes as `decode(ids, skip_special_tokens=False)`."""
 
@@ -41,7 +63,6 @@ class TreeCodec:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core; its threads would only wait
         import regex
         from tokenizers import Tokenizer
-        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_truncation()
@@ -52,25 +73,36 @@ class TreeCodec:
         self.specials = [x["content"] for x in spec.get("added_tokens", [])]
         if spec.get("decoder") is not None:
             raise ValueError("only vocabularies without a decoder are supported: their tokens are joined by spaces")
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.suffix = model.get("end_of_word_suffix") or ""
-        vocabulary = model["vocab"]
-        self.final = BPE(vocabulary, merges, end_of_word_suffix=self.suffix or None)
-        self.inner = BPE(vocabulary, merges)  # for pieces that don't end their word
-        self.size = {i: len(t) - len(self.suffix) * (bool(self.suffix) and t.endswith(self.suffix)) for t, i in vocabulary.items()}
-        self.pool = ThreadPoolExecutor(2)
-        self.memo: dict[str, tuple[int, str, str]] = {}  # stretches
-        self.words: dict[str, tuple[int, str, str]] = {}  # pre-tokens
-        self.token = {i: self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())}
-        self.ends = {i for i, t in self.token.items() if self.suffix and t.endswith(self.suffix)}
-        # Pre-tokens can be cut here if the file's steps are the known ones; else every stretch goes to the library.
+        self.file = tokenizer_file
+        self.token = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.shown = [str(i) for i in range(len(self.token))]
+        self.size = [len(t.removesuffix(self.suffix)) if self.suffix else len(t) for t in self.token]
+        self.ends = np.array([bool(self.suffix) and t.endswith(self.suffix) for t in self.token])
+        self.memo, self.words = Memo(), Memo()  # stretches, pre-tokens
+        self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
+        # Texts can be cut here if the file's steps are the known ones; else each whole text goes to the library.
         steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         first, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         known = steps == ["NFC", "Replace", "Lowercase"] and first.get("pattern") == {"Regex": PRETOKENS} and [x.get("type") for x in rest] == ["ByteLevel"]
-        self.cut = regex.compile(PRETOKENS).findall if known and self.ends else None
+        plain = not any(x.get("normalized") or x.get("single_word") or x.get("lstrip") or x.get("rstrip") or any(c.isspace() for c in x["content"]) for x in spec.get("added_tokens", []))
+        self.cut = regex.compile(PRETOKENS).findall if known and plain and self.ends.any() else None
+
+    @cached_property
+    def pool(self) -> ThreadPoolExecutor:
+        return ThreadPoolExecutor(2)
+
+    @cached_property
+    def inner(self):
+        """The model for pieces that don't end their word; few texts need it."""
+        from tokenizers.models import BPE
+
+        with open(self.file, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        return BPE(model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]])
 
     def _symbols(self, piece: str, ends_word: bool) -> list[int]:
-        return [t.id for t in (self.final if ends_word else self.inner).tokenize(piece)] if piece else []
+        return [t.id for t in (self.tokenizer.model if ends_word else self.inner).tokenize(piece)] if piece else []
 
     def _join(self, text: str, left: list[int], right: list[int], ends_word: bool) -> list[int]:
         """left and right encode the two parts of text, cut after left's characters."""
@@ -101,10 +133,14 @@ class TreeCodec:
 
     def _long(self, stretch: str) -> list[int]:
         """A long stretch without spaces: special strings first, as the library does, then pre-tokens."""
-        best = min(((stretch.find(s), -len(s), s) for s in self.specials if s in stretch), default=None)
-        if best:
-            at, _, special = best
-            return self._long(stretch[:at]) + [self.tokenizer.token_to_id(special)] + self._long(stretch[at + len(special) :])
+        out, at = [], 0
+        for m in self.special.finditer(stretch) if self.special else ():
+            out += self._plain(stretch[at : m.start()])
+            out.append(self.tokenizer.token_to_id(m[0]))
+            at = m.end()
+        return out + self._plain(stretch[at:])
+
+    def _plain(self, stretch: str) -> list[int]:
         if not stretch:
             return []
         normal = self.tokenizer.normalizer.normalize_str(stretch) if self.tokenizer.normalizer else stretch
@@ -113,66 +149,55 @@ class TreeCodec:
             out += self.tree(piece) if len(piece) > LEAF_CHARS else self._symbols(piece, True)
         return out
 
-    def _entry(self, ids: list[int], tokens: list[str]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join(tokens)
-
     def _encode_words(self, words: set[str]) -> None:
         """Encode pre-tokens in one call: every one ends with a token that has the end-of-word mark."""
-        need = words - self.words.keys()
-        if len(self.words) + len(need) > MEMO_ENTRIES:
-            self.words.clear()
-            need = words
-        if not need:
+        order = list(words - self.words.keys())
+        if not order:
             return
-        order, token, ends, start = list(need), self.token, self.ends, 0
-        ids = self.tokenizer.encode_batch([" ".join(order)], add_special_tokens=False)[0].ids
-        stops = [i for i, x in enumerate(ids, 1) if x in ends]
+        ids = np.array(self.tokenizer.encode_batch([" ".join(order)], add_special_tokens=False)[0].ids, np.int32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(order):
             raise AssertionError("a pre-token didn't end with the end-of-word mark")
-        shown = list(map(str, ids))
-        named = list(map(token.__getitem__, ids))
-        for word, stop in zip(order, stops):
-            self.words[word] = stop - start, " ".join(shown[start:stop]), " ".join(named[start:stop])
+        data, start, remember = ids.tobytes(), 0, self.words.remember
+        for word, stop in zip(order, (4 * stops).tolist()):
+            remember(word, data[start:stop])
             start = stop
 
     def encode_stretches(self, stretches: set[str]) -> None:
-        need = stretches - self.memo.keys()
-        if len(self.memo) + len(need) > MEMO_ENTRIES:
+        """Remember the ids of every stretch: all of them are in memo afterwards."""
+        if self.memo.size > MEMO_BYTES:
             self.memo.clear()
-            need = stretches
-        split, whole = {}, []
-        for s in need:
+        if self.words.size > MEMO_BYTES:
+            self.words.clear()
+        split, whole, remember = {}, [], self.memo.remember
+        for s in stretches - self.memo.keys():
             if len(s) > LONG_CHARS:
-                ids = self._long(s)
-                self.memo[s] = self._entry(ids, list(map(self.token.__getitem__, ids)))
-            elif self.cut and (s.isascii() or max(s) < PLAIN_BELOW) and not any(x in s for x in self.specials):
+                remember(s, packed(self._long(s)))
+            elif (s.isascii() or max(s) < PLAIN_BELOW) and not any(x in s for x in self.specials):
                 split[s] = self.cut(s.lower())
             else:
                 whole.append(s)
         self._encode_words({w for ws in split.values() for w in ws})
         words = self.words
         for s, ws in split.items():
-            if len(ws) == 1:
-                self.memo[s] = words[ws[0]]
-            else:
-                found = [words[w] for w in ws]
-                self.memo[s] = sum([x[0] for x in found]), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+            remember(s, words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]))
         for s, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
-            self.memo[s] = self._entry(e.ids, e.tokens)
+            remember(s, packed(e.ids))
 
     def forget(self) -> None:
         self.memo.clear()
         self.words.clear()
 
-    def encode_texts(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
-        """For each text its number of tokens, its ids joined by spaces and its decoded text."""
-        parts = [[w for w in (t or "").replace("\n", " ").split(" ") if w] for t in texts]
-        self.encode_stretches({w for p in parts for w in p})
-        out = []
-        for p in parts:
-            found = [x for x in map(self.memo.__getitem__, p) if x[0]]
-            out.append((sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])))
-        return out
+    def encode_texts(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as int32 in bytes."""
+        if self.cut is None:
+            return [packed(e.ids) for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        self.encode_stretches(set().union(*parts) if parts else set())
+        return [b"".join(map(self.memo.__getitem__, p)) for p in parts]
+
+    def decode(self, ids: list[int]) -> str:
+        return " ".join(map(self.token.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -188,14 +213,16 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", doc_id: str
     """
 
     def run(t: pa.RecordBatch) -> pa.RecordBatch:
-        rows = codec(tokenizer_file).encode_texts(t.column(1).to_pylist())
-        n = pa.array([r[0] for r in rows], pa.int64())
+        own = codec(tokenizer_file)
+        made = own.encode_texts(t.column(1).to_pylist())
+        n = pa.array([len(x) // 4 for x in made], pa.int64())
         if digests:
-            more = [pa.array([sha256(r[k].encode()).hexdigest() for r in rows], pa.string()) for k in (1, 2)]
+            shown, rows = own.shown.__getitem__, [np.frombuffer(x, np.int32).tolist() for x in made]
+            more = [pa.array([sha256(text.encode()).hexdigest() for text in texts], pa.string()) for texts in ((" ".join(map(shown, r)) for r in rows), map(own.decode, rows))]
         else:
-            ids = pa.array(np.fromstring(" ".join(r[1] for r in rows if r[0]), np.int32, sep=" "))
-            ends = np.cumsum([0] + [r[0] for r in rows]).astype(np.int32)
-            more = [pa.ListArray.from_arrays(pa.array(ends), ids), pa.array([r[2] for r in rows], pa.string())]
+            ends = np.cumsum([0] + [len(x) // 4 for x in made]).astype(np.int32)
+            decoded = pa.array([own.decode(np.frombuffer(x, np.int32).tolist()) for x in made], pa.string())
+            more = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(made), np.int32))), decoded]
         return pa.record_batch([t.column(0), n, *more], names=names)
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "n_tokens", "ids", "decoded"]
