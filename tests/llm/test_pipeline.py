@@ -59,7 +59,7 @@ def test_empty_tables_and_odd_rows(spark, tmp_path):
     """Empty documents, labels or benchmark, null ids and texts, repeated rows and further columns go through all stages."""
     write_tables(spark, str(tmp_path / "full"))
     empty = {"documents": DOCS, "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
-    docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet").limit(40).selectExpr("*", "1 AS score", "2 AS n_lines", "3 AS kept", "4 AS dk", "5 AS component")
+    docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet").where("doc_id < 40").selectExpr("*", "1 AS score", "2 AS n_lines", "3 AS kept", "4 AS dk", "5 AS component")
     odd = docs.where("doc_id < 3").union(docs.where("doc_id < 3")).union(docs.where("doc_id < 2").selectExpr("CAST(NULL AS LONG)", *docs.columns[1:])).union(docs.where("doc_id < 2").selectExpr("doc_id + 900", "CAST(NULL AS STRING)", *docs.columns[2:]))
     for missing in ("labels", "benchmark", "documents"):
         folder = f"{tmp_path}/{missing}"
