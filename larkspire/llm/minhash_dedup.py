@@ -282,12 +282,13 @@ def blocks_apart(clusters: DataFrame, labels: DataFrame) -> DataFrame:
     blocks is within one label. A cluster with one label has no row.
     """
     own = clusters.join(labels.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = own.groupBy("component").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select("component")
+    # As tables their sizes are known before the joins with them are planned, so that nodes aren't shuffled by cluster for a few.
+    several = cut(own.groupBy("component").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select("component"))
     own = cut(own.join(several, "component", "left_semi"))
-    of_label = own.groupBy("component", "label").agg(F.count("*").alias("n"))
+    of_label = cut(own.groupBy("component", "label").agg(F.count("*").alias("n")))
     large = F.when(F.col("n") >= BLOCK_DOCS, F.col("label"))
     groups = of_label.groupBy("component", large.alias("g")).agg(F.ceil(F.sum("n") / BLOCK_DOCS).cast("int").alias("blocks"))
-    shapes = groups.groupBy("component").agg(F.collect_list(F.struct("g", "blocks")).alias("shape"))  # a row for each large label
+    shapes = cut(groups.groupBy("component").agg(F.collect_list(F.struct("g", "blocks")).alias("shape")))  # of each large label one
     sized = own.join(of_label, ["component", "label"]).withColumn("g", large).join(shapes, "component")
     mine = F.element_at(F.filter("shape", lambda s: s["g"].eqNullSafe(F.col("g"))), 1)["blocks"]
     placed = sized.withColumn("i", F.pmod(F.xxhash64("node"), mine).cast("int"))
