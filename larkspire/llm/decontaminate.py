@@ -23,7 +23,9 @@ The join is one of hashes on both sides, in three steps that no frequent window
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ FILTER_BITS, BITS_PER_WINDOW = 1 << 27, 32
 #: A piece of the filter, as it is put together.
 PIECE_BITS = 1 << 16
 MEMO_WORDS = 200_000
+#: Words of texts that are looked at together.
+GROUP_WORDS = 1 << 15
 #: Units of measure that are canonicalised, lower case, after punctuation is taken off.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec min h hr hrs ms hz khz mhz ghz w kw v j kj cal kcal pa kpa usd eur gbp km/h mph kmh percent % $ € £ ° °c °f".split())
 NUMBER = re.compile(r"[-+]?(?:\d+(?:[.,:/]\d+)*)(?:st|nd|rd|th|%)?")
@@ -48,6 +52,8 @@ TRIM = re.compile(r"^[\W_]+|[\W_]+$")
 STOPS = (".", "!", "?", ":", ";")
 CLOSERS = "\"')]}»”’"
 ENDS = frozenset((*STOPS, *CLOSERS))
+#: ASCII characters that TRIM takes off; what else it takes off is left to it.
+PUNCTUATION = string.punctuation
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 KIND = {NUM: 1, NAME: 2, UNIT: 3}
 
@@ -91,6 +97,18 @@ def canonical(text: str) -> list[tuple[str, str | None]]:
     return [t for i in range(len(words)) for t in at_place(words, i)]
 
 
+class Numbers(dict):
+    """word -> number, in order of appearance; new holds the words that came since it was last emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Canonicaliser:
     """Texts to rows of 64-bit token ids; placeholders have the ids in KIND. Words are remembered in a bounded table."""
 
@@ -98,9 +116,9 @@ class Canonicaliser:
         self.clear()
 
     def clear(self) -> None:
-        #: word -> number; by number, by whether a number is beside it and whether a sentence opens there: first and
-        #: second token, 0 for none, as template tokens and as the words themselves.
-        self.memo: dict[str, int] = {}
+        self.memo = Numbers()
+        #: By number, by whether a number is beside it, template tokens or the words themselves, and by whether a sentence
+        #: opens there: first and second token, 0 for none.
         self.tokens = np.zeros((1024, 2, 2, 2, 2), np.uint64)
         self.stops, self.numeric = np.zeros(1024, bool), np.zeros(1024, bool)
 
@@ -108,47 +126,65 @@ class Canonicaliser:
     def ident(token: str) -> int:
         return KIND.get(token) or xxhash.xxh3_64_intdigest(token.encode("utf-8", "replace")) | 8
 
-    def add(self, words: set[str]) -> None:
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self.memo]
-        first = len(self.memo)
-        while first + len(new) > len(self.tokens):
+    def learn(self) -> None:
+        """Fill in the rows of the words that are new."""
+        new, self.memo.new = self.memo.new, []
+        first, end = len(self.memo) - len(new), len(self.memo)
+        while end > len(self.tokens):
             self.tokens, self.stops, self.numeric = (np.concatenate([x, np.zeros_like(x)]) for x in (self.tokens, self.stops, self.numeric))
-        self.memo.update(zip(new, range(first, first + len(new))))
-        rows, ident, name = [], self.ident, KIND[NAME]
-        for w in new:
-            core = w.strip(".,;:!?")
-            if core.isalpha() and (low := core.lower()) not in UNITS:  # the usual case of template(), made quick
-                own = ident(low)
-                kind = name if core[0].isupper() else own
-                rows.append((kind, 0, own, 0, own, 0, own, 0) * 2)
-            else:
-                row = []
-                for beside in (False, True):
-                    made = [template(w, opens, beside) for opens in (False, True)]
-                    for literal in (False, True):
-                        for parts in made:
-                            ids = [ident(v if literal and v is not None else t) for t, v in parts]
-                            row += (ids + [0, 0])[:2]
-                rows.append(tuple(row))
-        if new:
-            # (beside, literal, opens, token) in rows
-            self.tokens[first : first + len(new)] = np.array(rows, np.uint64).reshape(-1, 2, 2, 2, 2)
-            self.stops[first : first + len(new)] = [w[-1] in ENDS and ends_sentence(w) for w in new]
-            self.numeric[first : first + len(new)] = [is_number(w) for w in new]
-
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template ids, ids of the words themselves, and for each the number of its word. add() was called with the words."""
-        numbers = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        opens, beside = np.ones(len(words), np.int64), np.zeros(len(words), np.int64)
-        opens[1:] = self.stops[numbers[:-1]]
+        # Most words are letters between punctuation, or punctuation alone: quick, as template() says of them.
+        plain, ids, names, stops = [], [], [], []
+        digest = xxhash.xxh3_64_intdigest
+        for n, w in enumerate(new, first):
+            if w[-1] in ENDS and ends_sentence(w):
+                stops.append(n)
+            core = w.strip(PUNCTUATION)
+            if core.isalpha():
+                low = core.lower()
+                if low not in UNITS:
+                    plain.append(n)
+                    ids.append(digest(low) | 8)
+                    if core[0].isupper():
+                        names.append(n)
+                    continue
+            elif not core and w not in UNITS:
+                continue
+            self.tokens[n] = self.cases(w)
+            self.numeric[n] = is_number(w)
+        self.stops[stops] = True
+        self.tokens[plain, :, :, :, 0] = np.array(ids, np.uint64)[:, None, None, None]
+        self.tokens[names, :, 0, 0, 0] = KIND[NAME]
+
+    def cases(self, word: str) -> list:
+        """The row of tokens of a word, as template() makes it for each case."""
+        out = []
+        for beside in (False, True):
+            made = [template(word, opens, beside) for opens in (False, True)]
+            ids = [[[self.ident(v if literal and v is not None else t) for t, v in parts] for parts in made] for literal in (False, True)]
+            out.append([[(x + [0, 0])[:2] for x in rows] for rows in ids])
+        return out
+
+    def encode(self, texts: list[list[str]], literal: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the words of some texts, one after the other: template ids, ids of the words themselves (if literal), for each
+        the number of its word and of its text, and where the words of each text start."""
+        if len(self.memo) > MEMO_WORDS:
+            self.clear()
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        total = int(lengths.sum())
+        numbers = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(texts)), np.int64, total)
+        self.learn()
+        text_of = np.repeat(np.arange(len(texts)), lengths)
+        same = text_of[1:] == text_of[:-1]
+        opens, beside = np.ones(total, np.int64), np.zeros(total, np.int64)
+        opens[1:] = self.stops[numbers[:-1]] | ~same
         numeric = self.numeric[numbers]
-        beside[1:] |= numeric[:-1]
-        beside[:-1] |= numeric[1:]
-        pairs, literal = (self.tokens[numbers, beside, k, opens] for k in (0, 1))
+        beside[1:] |= numeric[:-1] & same
+        beside[:-1] |= numeric[1:] & same
+        pairs = self.tokens[numbers, beside, 0, opens]
         there = pairs != 0
-        return pairs[there], literal[there], np.repeat(np.arange(len(words)), there.sum(1))
+        word_of = np.repeat(np.arange(total), there.sum(1))
+        own = self.tokens[numbers, beside, 1, opens][there] if literal else None
+        return pairs[there], own, word_of, text_of[word_of], np.cumsum(lengths) - lengths
 
 
 def windows(ids: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -162,11 +198,11 @@ def windows(ids: np.ndarray, size: int = WINDOW) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def values_of(words: list[str], word_of: np.ndarray, start: int, size: int) -> list[str | None]:
-    """What the placeholders hide in the window at start, null for other tokens."""
+def values_of(words: list[str], word_of: np.ndarray, start: int, size: int, first: int) -> list[str | None]:
+    """What the placeholders hide in the window at start, null for other tokens. first: the number of words[0] in word_of."""
     out = []
     for k in range(start, start + size):
-        parts = at_place(words, int(word_of[k]))
+        parts = at_place(words, int(word_of[k]) - first)
         out.append(parts[1 if len(parts) > 1 and k and word_of[k - 1] == word_of[k] else 0][1])
     return out
 
@@ -196,10 +232,14 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return map_chunks(rows.where("item_id IS NOT NULL AND text IS NOT NULL"), run, ITEMS)
 
 
-def probes(w: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
-    """Three places in the filter for each window; bits is a power of two."""
-    w, mask = w.view(np.uint64), np.uint64(bits - 1)
-    return tuple((x & mask).astype(np.int64) for x in (w, w >> np.uint64(23), (w * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(36)))
+PROBES = 3
+
+
+def probe(w: np.ndarray, bits: int, k: int) -> np.ndarray:
+    """The k-th of PROBES places in the filter for each window; bits is a power of two."""
+    w = w.view(np.uint64)
+    x = w if k == 0 else w >> np.uint64(23) if k == 1 else (w * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(36)
+    return (x & np.uint64(bits - 1)).astype(np.int64)
 
 
 def window_filter(items: DataFrame, n: int) -> np.ndarray:
@@ -209,7 +249,7 @@ def window_filter(items: DataFrame, n: int) -> np.ndarray:
         bits *= 2
 
     def places(t: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.unique(np.concatenate(probes(t.column(0).to_numpy(), bits)))
+        found = np.unique(np.concatenate([probe(t.column(0).to_numpy(), bits, k) for k in range(PROBES)]))
         return pa.record_batch([pa.array(found // PIECE_BITS), pa.array(found % PIECE_BITS)], names=["piece", "bit"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,10 +268,12 @@ def window_filter(items: DataFrame, n: int) -> np.ndarray:
 
 
 def passes(bits: np.ndarray, w: np.ndarray) -> np.ndarray:
-    out = np.ones(len(w), bool)
-    for p in probes(w, 8 * len(bits)):
-        out &= (bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
-    return out
+    """The places in w of the windows that the filter lets through."""
+    at = np.arange(len(w))
+    for k in range(PROBES):
+        p = probe(w[at], 8 * len(bits), k)
+        at = at[(bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1]
+    return at
 
 
 def row_keys(docs: DataFrame) -> list[Column]:
@@ -239,6 +281,18 @@ def row_keys(docs: DataFrame) -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("dk"), F.xxhash64("text", F.lit(5)).alias("rk")]
 
 
+def groups(texts: list[list[str]]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about GROUP_WORDS words in all, so that arrays stay small; a single text may be longer."""
+    low = words = 0
+    for i, text in enumerate(texts):
+        words += len(text)
+        if words >= GROUP_WORDS:
+            yield low, i + 1
+            low, words = i + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
+
+
 def document_windows(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
     """dk, rk, place, w, vals: the windows of documents that pass the filter; sizes are those of the short items."""
     shared = docs.sparkSession.sparkContext.broadcast((bits, tuple(sizes)))  # FILTER_BITS / 8 bytes at most
@@ -247,22 +301,22 @@ def document_windows(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> Dat
     def run(t: pa.RecordBatch) -> pa.RecordBatch:
         (bits, sizes), reader = shared.value, state.setdefault("reader", Canonicaliser())
         texts = [(x or "").split() for x in t.column(2).to_pylist()]
-        reader.add(set().union(*texts))
         row, places, found, values = [], [], [], []
-        for i, words in enumerate(texts):
-            if not words:
-                continue
-            template_ids, literal_ids, word_of = reader.encode(words)
+        for low, high in groups(texts):
+            ids, own, word_of, text_of, starts = reader.encode(texts[low:high], bool(sizes))
+            first = np.searchsorted(text_of, np.arange(high - low))
             for size in (WINDOW, *sizes):
-                w = windows(template_ids if size == WINDOW else literal_ids, size)
-                at = np.flatnonzero(passes(bits, w))
-                row += [i] * len(at)
-                places += at.tolist()
+                w = windows(ids if size == WINDOW else own, size)
+                at = passes(bits, w)
+                at = at[text_of[at] == text_of[at + size - 1]]
+                where = text_of[at]
+                row.append(low + where)
+                places.append(at - first[where])
                 found.append(w[at])
-                values += [values_of(words, word_of, k, size) for k in at.tolist()]
-        keys = [t.column(k).take(pa.array(row, pa.int64())) for k in (0, 1)]
-        w = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-        return pa.record_batch([*keys, pa.array(places, pa.int32()), pa.array(w), pa.array(values, pa.list_(pa.string()))], names=["dk", "rk", "place", "w", "vals"])
+                values += [values_of(texts[low + i], word_of, k, size, int(starts[i])) for k, i in zip(at.tolist(), where.tolist())]
+        row, places, found = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (row, places, found))
+        keys = [t.column(k).take(pa.array(row)) for k in (0, 1)]
+        return pa.record_batch([*keys, pa.array(places.astype(np.int32)), pa.array(found.view(np.int64)), pa.array(values, pa.list_(pa.string()))], names=["dk", "rk", "place", "w", "vals"])
 
     return map_chunks(docs.select(*row_keys(docs), "text"), run, "dk bigint, rk bigint, place int, w bigint, vals array<string>", done=state.clear)
 
