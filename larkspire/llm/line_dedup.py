@@ -54,6 +54,14 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     return map_chunks(_identified(docs).select("__did", "__rk", "text"), run, "h1 bigint, h2 bigint, did bigint, rk bigint, pos int")
 
 
+def _opens(rows: np.ndarray) -> np.ndarray:
+    """Flags of the rows (h1, h2, did, rk, ..), in order, that open a document of their line: rows of an id are one, those without one go by rk."""
+    new = np.ones(len(rows), bool)
+    did = rows[:, 2]
+    new[1:] = (rows[1:, :3] != rows[:-1, :3]).any(1) | ((did[1:] == NO_ID) & (rows[1:, 3] != rows[:-1, 3]))
+    return new
+
+
 class GroupStream:
     """Decides about the groups of one sorted partition, batch after batch."""
 
@@ -89,12 +97,8 @@ class GroupStream:
 
     def _extend(self, rows: np.ndarray) -> list:
         """Add rows to the open group; once enough documents have it, its rows go out as drops."""
-        ids = rows[:, 2:4]
-        new = np.ones(len(rows), bool)
-        new[1:] = (ids[1:] != ids[:-1]).any(1)
-        if self.last is not None:
-            new[0] = bool((ids[0] != self.last).any())
-        before, self.docs, self.last = self.docs, self.docs + int(new.sum()), ids[-1]
+        new = _opens(rows) if self.last is None else _opens(np.vstack([self.last, rows]))[1:]
+        before, self.docs, self.last = self.docs, self.docs + int(new.sum()), rows[-1]
         if self.docs < self.min_docs:
             self.held = np.concatenate([self.held, rows])
             return []
@@ -122,9 +126,7 @@ class GroupStream:
             if first < last:
                 a, b = starts[first], ends[last - 1]
                 part, at = rows[a:b], starts[first:last] - a
-                new = np.ones(len(part), bool)
-                new[1:] = (part[1:, :4] != part[:-1, :4]).any(1)
-                docs = np.add.reduceat(new.astype(np.int64), at)
+                docs = np.add.reduceat(_opens(part).astype(np.int64), at)
                 drop = np.repeat(docs >= self.min_docs, np.diff(np.append(at, len(part))))
                 if self.keep_first:
                     drop[at] = False
@@ -151,7 +153,8 @@ def repeated_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, keep_firs
         yield from said(stream._end_group(True))
 
     hashed = line_hashes(docs, min_chars)
-    dealt = hashed.repartitionByRange("h1", "did").sortWithinPartitions("h1", "h2", "did", "rk", "pos")
+    # Rows of an id that have a line meet in one partition; those without an id, of which there may be many, are spread by rk.
+    dealt = hashed.repartitionByRange("h1", "did", F.when(F.col("did") == NO_ID, F.col("rk"))).sortWithinPartitions("h1", "h2", "did", "rk", "pos")
     found = cut(map_arrow(dealt, run, FOUND))
     place = F.struct("did", "rk", "pos")
     edges = found.where(F.col("kind") == EDGE).groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.min(place).alias("first"))
@@ -191,9 +194,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
 
     A line's key is the line without blanks `[\\x20\\x09-\\x0D]` at its ends and with A-Z in lower case. Keys of at least
     min_chars code points found in at least min_docs documents lose all their lines; with keep_first the first line, by
-    doc_id and position, stays. A null text is one empty line and stays null; an empty text stays empty. Rows that repeat
-    both id and text count as one document and get the same result; rows with a null id, or an id that another text has
-    too, are documents of their own. An empty table gives an empty result. Columns of the names n_lines and n_dropped are
+    doc_id and position, stays. A null text is one empty line and stays null; an empty text stays empty. Rows that share an
+    id count as one document, whatever their texts, and each loses its own lines; rows with a null id are documents by their
+    text. An empty table gives an empty result. Columns of the names n_lines and n_dropped are
     replaced; all other columns pass through.
     """
     names = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]

@@ -47,11 +47,25 @@ def test_edges(spark):
     assert rows(dedup_lines(clash, 2), "doc_id", "text", "did", "n_lines") == [(0, "y", 1, 2), (1, "z", 1, 2)]
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    texts = [(1, f"a\nb{i}") for i in range(6)] + [(2, "a\nc")] + [(None, f"q\nr{i}") for i in range(3)]
+    docs = documents(spark, texts)
+    assert {r.n_dropped for r in dedup_lines(docs, 3).where("doc_id IS NOT NULL").collect()} == {0}
+    assert [r.text for r in dedup_lines(docs, 3).where("doc_id IS NULL").orderBy("text").collect()] == ["r0", "r1", "r2"]
+    assert rows(dedup_lines(docs, 2).where("doc_id IS NOT NULL"), "doc_id", "text") == [(1, f"b{i}") for i in range(6)] + [(2, "c")]
+
+
+def test_very_long_texts(spark):
+    long = "\n".join("same" if i % 3 else f"own line {i}" for i in range(300_000))
+    texts = [(1, long), (2, "x" * 3_000_000 + "\nsame"), (3, "same\nlast")]
+    assert rows(dedup_lines(documents(spark, texts), 3), "doc_id", "n_lines", "n_dropped", "text") == brute(texts, 3)
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_stream_says_the_same_for_any_cut(keep_first):
     random.seed(3)
     for _ in range(60):
-        table = sorted({(random.randrange(5), 0, random.randrange(8), 0, random.randrange(3)) for _ in range(random.randrange(1, 60))})
+        table = sorted({(random.randrange(5), 0, random.randrange(8), random.randrange(2), random.randrange(3)) for _ in range(random.randrange(1, 60))})
         table = np.array(table)
         least = random.randrange(1, 6)
         want = set()
