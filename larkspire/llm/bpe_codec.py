@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from larkspire.llm.common import map_chunks
 
-#: Bytes, about, that each of the two tables of remembered stretches and pre-tokens may take.
-MEMO_BYTES = 24 << 20
+#: Bytes, about, that the table of remembered stretches and pre-tokens may take.
+MEMO_BYTES = 48 << 20
 #: What an entry takes besides its characters and ids.
 ENTRY_BYTES = 190
 #: The vocabulary file's own pattern of pre-tokens, and the characters for which cutting by it here is exact: below this
@@ -39,17 +39,32 @@ LEAF_CHARS = 256
 
 
 class Memo(dict):
-    """Ids as bytes by string; emptied when its entries take more than MEMO_BYTES."""
+    """Ids as bytes by string. When its entries take more than half of MEMO_BYTES they become the old ones, in place of those
+    before; an old one that is asked for again comes back, so what is frequent stays."""
 
-    size = 0
+    def __init__(self):
+        self.size, self.old = 0, {}
 
-    def remember(self, key: str, ids: bytes) -> None:
-        self[key] = ids
-        self.size += ENTRY_BYTES + len(key) + len(ids)
+    def remember(self, keys: list[str], made: list[bytes]) -> None:
+        self.update(zip(keys, made))
+        self.size += ENTRY_BYTES * len(keys) + sum(map(len, keys)) + sum(map(len, made))
+
+    def age(self) -> None:
+        if self.size > MEMO_BYTES // 2:
+            self.old = dict(self)
+            super().clear()
+            self.size = 0
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those that aren't there; all others are, afterwards."""
+        new = keys - self.keys()
+        back = list(new & self.old.keys())
+        self.remember(back, [self.old[k] for k in back])
+        return new.difference(back)
 
     def clear(self) -> None:
         super().clear()
-        self.size = 0
+        self.__init__()
 
 
 def packed(ids: list[int]) -> bytes:
@@ -79,7 +94,7 @@ class TreeCodec:
         self.shown = [str(i) for i in range(len(self.token))]
         self.size = [len(t.removesuffix(self.suffix)) if self.suffix else len(t) for t in self.token]
         self.ends = np.array([bool(self.suffix) and t.endswith(self.suffix) for t in self.token])
-        self.memo, self.words = Memo(), Memo()  # stretches, pre-tokens
+        self.memo = Memo()  # a pre-token is a stretch, too: it encodes alike alone
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
         # Texts can be cut here if the file's steps are the known ones; else each whole text goes to the library.
         steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -151,49 +166,51 @@ class TreeCodec:
 
     def _encode_words(self, words: set[str]) -> None:
         """Encode pre-tokens in one call: every one ends with a token that has the end-of-word mark."""
-        order = list(words - self.words.keys())
+        order = list(self.memo.missing(words))
         if not order:
             return
         ids = np.array(self.tokenizer.encode_batch([" ".join(order)], add_special_tokens=False)[0].ids, np.int32)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(order):
             raise AssertionError("a pre-token didn't end with the end-of-word mark")
-        data, start, remember = ids.tobytes(), 0, self.words.remember
-        for word, stop in zip(order, (4 * stops).tolist()):
-            remember(word, data[start:stop])
-            start = stop
-
-    def encode_stretches(self, stretches: set[str]) -> None:
-        """Remember the ids of every stretch: all of them are in memo afterwards."""
-        if self.memo.size > MEMO_BYTES:
-            self.memo.clear()
-        if self.words.size > MEMO_BYTES:
-            self.words.clear()
-        split, whole, remember = {}, [], self.memo.remember
-        for s in stretches - self.memo.keys():
+        data, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
+        self.memo.remember(order, [data[i:j] for i, j in zip(cuts, cuts[1:])])
+
+    def encode_stretches(self, stretches: set[str], specials: list[str]) -> None:
+        """Remember the ids of every stretch: all of them are in memo afterwards. specials: the special strings that any holds."""
+        self.memo.age()
+        split, alone, words, whole, long = {}, [], set(), [], []
+        for s in self.memo.missing(stretches):
             if len(s) > LONG_CHARS:
-                remember(s, packed(self._long(s)))
-            elif (s.isascii() or max(s) < PLAIN_BELOW) and not any(x in s for x in self.specials):
-                split[s] = self.cut(s.lower())
+                long.append(s)
+            elif (s.isascii() or max(s) < PLAIN_BELOW) and not (specials and any(x in s for x in specials)):
+                low = s.lower()
+                if low.isalpha():  # one pre-token
+                    words.add(low)
+                    if low != s:
+                        alone.append((s, low))
+                else:
+                    split[s] = ws = self.cut(low)
+                    words.update(ws)
             else:
                 whole.append(s)
-        self._encode_words({w for ws in split.values() for w in ws})
-        words = self.words
-        for s, ws in split.items():
-            remember(s, words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]))
-        for s, e in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
-            remember(s, packed(e.ids))
+        self._encode_words(words)
+        ids, remember = self.memo.__getitem__, self.memo.remember
+        remember([s for s, _ in alone], [ids(low) for _, low in alone])
+        remember(list(split), [b"".join(map(ids, ws)) for ws in split.values()])
+        remember(whole, [packed(e.ids) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)])
+        remember(long, [packed(self._long(s)) for s in long])
 
     def forget(self) -> None:
         self.memo.clear()
-        self.words.clear()
 
     def encode_texts(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as int32 in bytes."""
         if self.cut is None:
             return [packed(e.ids) for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self.encode_stretches(set().union(*parts) if parts else set())
+        specials = [x for x in self.specials if any(t and x in t for t in texts)]
+        self.encode_stretches(set().union(*parts) if parts else set(), specials)
         return [b"".join(map(self.memo.__getitem__, p)) for p in parts]
 
     def decode(self, ids: list[int]) -> str:
