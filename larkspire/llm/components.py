@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspire.llm.common import cut, drop_table, map_arrow
+from larkspire.llm.common import collect_garbage, cut, drop_table, map_arrow
 
 #: Edges that a task contracts together before any shuffle.
 CONTRACT_EDGES = 500_000
@@ -58,15 +58,20 @@ def _contracted(edges: DataFrame) -> DataFrame:
     return map_arrow(edges.select("a", "b"), run, "a bigint, b bigint")
 
 
-def _with_least(pairs: DataFrame, both: DataFrame) -> DataFrame:
-    """pairs (u, v) with m, the least of u and of all that both (u, v) puts beside it.
+def _least(pairs: DataFrame) -> DataFrame:
+    """(u, m): m is the least of u and of all that pairs (u, v) puts beside it, aggregated before its shuffle, so hubs do no harm there."""
+    return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
-    The least is aggregated before its shuffle, so hubs do no harm there. The join is on an expression of u that Spark doesn't
-    know to be dealt out already, so that both sides get exchanges of their own and skewed ones, a hub's pairs, are split.
+
+def _with_least(pairs: DataFrame, least: DataFrame) -> DataFrame:
+    """pairs (u, v) with the m of their u.
+
+    The join is on an expression of u that Spark doesn't know to be dealt out already, so that both sides get exchanges of
+    their own and skewed ones, a hub's pairs, are split. It is a merge at every size: a broadcast is built in the driver,
+    whose memory would hold those of all rounds until its garbage is collected.
     """
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
     key = F.col("u").bitwiseXOR(F.lit(1)).alias("x")
-    return pairs.select(key, "u", "v").join(least.select(key, "m"), "x")
+    return pairs.select(key, "u", "v").join(least.select(key, "m").hint("merge"), "x")
 
 
 def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
@@ -81,11 +86,12 @@ def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # Large star: every larger neighbour v of u goes to u's least neighbour.
         both = edges.selectExpr("a AS u", "b AS v").union(edges.selectExpr("b AS u", "a AS v"))
-        large = _with_least(both.where("v > u"), both).selectExpr("m AS a", "v AS b").distinct()
+        large = _with_least(both.where("v > u"), _least(both)).selectExpr("m AS a", "v AS b").distinct()
         # Small star: u and its smaller neighbours go to the least of them.
         down = large.selectExpr("b AS u", "a AS v")
-        moved = _with_least(down, down)
-        before, edges = edges, cut(moved.selectExpr("m AS a", "v AS b").union(moved.selectExpr("m AS a", "u AS b")).where("a != b").distinct())
+        least = _least(down)
+        moved = _with_least(down, least).selectExpr("m AS a", "v AS b").union(least.selectExpr("m AS a", "u AS b"))
+        before, edges = edges, cut(moved.where("a != b").distinct())
         drop_table(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("b")).first()
         if now[0] == now[2] and tuple(now) == told:  # each node has one edge, to its component, and nothing moves
@@ -93,5 +99,6 @@ def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
         told = tuple(now)
     else:
         raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
+    collect_garbage(edges.sparkSession)  # of all rounds
     roots = edges.select(F.col("a").alias("node")).distinct()
     return edges.selectExpr("b AS node", "a AS component").union(roots.selectExpr("node", "node AS component"))

@@ -153,3 +153,14 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
     assert len(got) == len(want) and {r.node: r.component for r in got} == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_broadcast_nothing(spark):
+    """What the driver would build, and hold for all rounds, in a stage of many joins of small tables."""
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)]
+    ran = lambda: (lambda x: {x.apply(i).executionId(): x.apply(i).physicalPlanDescription() for i in range(x.size())})(spark._jsparkSession.sharedState().statusStore().executionsList())
+    before = ran()
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(31)}
+    plans = [p for k, p in ran().items() if k not in before]
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
