@@ -1,4 +1,4 @@
-"""Connected components of an edge list, by alternating large-star and small-star steps."""
+"""Connected components of an edge list, by alternating large-star and small-star steps; small lists in one task."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from larkspire.llm.common import collect_garbage, cut, drop_table, map_arrow
 
 #: Edges that a task contracts together before any shuffle.
 CONTRACT_EDGES = 500_000
+#: Edges of a whole graph that one task contracts, for which rounds would take many joins, and threads and memory of the driver; CONTRACT_EDGES at most.
+ONE_TASK_EDGES = CONTRACT_EDGES
 MAX_ROUNDS = 60
 
 
@@ -74,14 +76,8 @@ def _with_least(pairs: DataFrame, least: DataFrame) -> DataFrame:
     return pairs.select(key, "u", "v").join(least.select(key, "m").hint("merge"), "x")
 
 
-def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
-    """(node, component) of every node that has an edge; component is its smallest reachable node.
-
-    edges has bigint a and b. Null ends and loops are passed over, repeated edges count once. No edge gives no row.
-    contracted: the tasks that make the edges have contracted them already, so no further Python workers are needed for that.
-    """
-    edges = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    edges = cut((edges if contracted else _contracted(edges)).distinct())
+def _settled(edges: DataFrame) -> DataFrame:
+    """Edges from each component's smallest node to its others, by rounds of stars."""
     told = None
     for _ in range(MAX_ROUNDS):
         # Large star: every larger neighbour v of u goes to u's least neighbour.
@@ -95,10 +91,25 @@ def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
         drop_table(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("b")).first()
         if now[0] == now[2] and tuple(now) == told:  # each node has one edge, to its component, and nothing moves
-            break
+            return edges
         told = tuple(now)
+    raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
+
+
+def components(edges: DataFrame, contracted: bool = False) -> DataFrame:
+    """(node, component) of every node that has an edge; component is its smallest reachable node.
+
+    edges has bigint a and b. Null ends and loops are passed over, repeated edges count once. No edge gives no row.
+    At most ONE_TASK_EDGES edges are contracted by one task; more take rounds of stars.
+    contracted: the tasks that make the edges have contracted them already, so no further Python workers are needed for that.
+    """
+    edges = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+    edges = cut((edges if contracted else _contracted(edges)).distinct())
+    if edges.count() <= ONE_TASK_EDGES:
+        before, edges = edges, cut(_contracted(edges.coalesce(1)))
+        drop_table(before)
     else:
-        raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
-    collect_garbage(edges.sparkSession)  # of all rounds
+        edges = _settled(edges)
+    collect_garbage(edges.sparkSession)
     roots = edges.select(F.col("a").alias("node")).distinct()
     return edges.selectExpr("b AS node", "a AS component").union(roots.selectExpr("node", "node AS component"))

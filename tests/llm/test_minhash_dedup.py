@@ -155,12 +155,31 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_components_broadcast_nothing(spark):
+def ran(spark):
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {found.apply(i).executionId(): found.apply(i).physicalPlanDescription() for i in range(found.size())}
+
+
+def test_components_broadcast_nothing(spark, monkeypatch):
     """What the driver would build, and hold for all rounds, in a stage of many joins of small tables."""
+    monkeypatch.setattr("larkspire.llm.components.ONE_TASK_EDGES", 0)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)]
-    ran = lambda: (lambda x: {x.apply(i).executionId(): x.apply(i).physicalPlanDescription() for i in range(x.size())})(spark._jsparkSession.sharedState().statusStore().executionsList())
-    before = ran()
+    before = ran(spark)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(31)}
-    plans = [p for k, p in ran().items() if k not in before]
+    plans = [p for k, p in ran(spark).items() if k not in before]
     assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_small_components_join_nothing(spark, monkeypatch):
+    """One task contracts a small graph, with the answer of the rounds, also at the bound."""
+    random.seed(8)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(200)] + [(500 - i, 499 - i) for i in range(60)] + [(None, 1), (2, None), (7, 7)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    told = []
+    for contracted in (False, True):
+        before = ran(spark)
+        told.append(sorted(map(tuple, components(df, contracted).collect())))
+        assert not any("Join" in p for k, p in ran(spark).items() if k not in before)
+    monkeypatch.setattr("larkspire.llm.components.ONE_TASK_EDGES", 0)
+    assert told[0] == told[1] == sorted(map(tuple, components(df).collect())) and len(told[0]) > 200
